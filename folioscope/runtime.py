@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -17,14 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary folder is chosen and
-    written back to the session, so that later calls agree on it.
+    Only where the session names none (a local run) this process chooses a temporary folder.
     """
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = "file://" + tempfile.mkdtemp(prefix="folioscope-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    return conf.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return named.rstrip("/") if named else _own_dir()
+
+
+@functools.cache
+def _own_dir() -> str:
+    path = tempfile.mkdtemp(prefix="folioscope-")
+    atexit.register(shutil.rmtree, path, True)
+    return f"file://{path}"
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -10,8 +10,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
     yield session
