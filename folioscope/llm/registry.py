@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-NAMES = ("layout_duplicates",)
+NAMES = ("layout_duplicates", "look_alikes")
 
 
 def modules() -> list[ModuleType]:
