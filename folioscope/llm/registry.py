@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-NAMES = ("layout_duplicates", "look_alikes", "splitting")
+NAMES = ("layout_duplicates", "look_alikes", "splitting", "encoding")
 
 
 def modules() -> list[ModuleType]:
