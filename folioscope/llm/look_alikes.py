@@ -113,15 +113,17 @@ class LookAlikes:
 
     def __init__(self, df: DataFrame, *, row_id: str, text: str):
         spark = df.sparkSession
-        rows = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("raw")).filter(F.col("raw").isNotNull())
-        rows = rows.withColumn("mapped", one_form(F.col("raw"))).filter(F.col("mapped").rlike(r"(?U)\S"))
-        keyed = rows.withColumn("bones", F.xxhash64(skeleton(F.col("mapped"))))
-        small = materialize(keyed.select("row_id", "bones", F.xxhash64("raw").alias("form")), "bones")
+        given = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("raw")).filter(F.col("raw").isNotNull())
+        rows = given.withColumn("mapped", one_form(F.col("raw"))).filter(F.col("mapped").rlike(r"(?U)\S"))
+        bones = rows.select("row_id", F.xxhash64(skeleton(F.col("mapped"))).alias("bones"), F.xxhash64("raw").alias("form"))
+        small = materialize(bones, "bones")
         several = small.groupBy("bones").agg(F.min("form").alias("a"), F.max("form").alias("b")).filter("a <> b").select("bones")
-        several = materialize(several, "several")
-        blocks = bf.blocks_for(several.count())
-        near = bf.probe(keyed, F.col("bones"), bf.build(several, F.col("bones"), blocks), blocks, "maybe").filter("maybe")
-        near = materialize(near.select("row_id", "raw", "mapped"), "near")
+        wanted = materialize(small.join(several, "bones", "left_semi").select("row_id"), "wanted")
+        # The texts of the wanted rows: a bounded Bloom filter in the scan, before any text is mapped or moved.
+        blocks = bf.blocks_for(wanted.count())
+        passed = bf.probe(given, F.col("row_id"), bf.build(wanted, F.col("row_id"), blocks), blocks, "maybe").filter("maybe")
+        near = passed.select("row_id", "raw").join(wanted, "row_id", "left_semi").withColumn("mapped", one_form(F.col("raw")))
+        near = materialize(near, "near")
         # Deterministic member: the one with least foreign characters, then the smallest as stored.
         self.members = spark.sql(
             """
