@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-NAMES = ("layout_duplicates", "look_alikes", "splitting", "encoding", "leakage")
+NAMES = ("layout_duplicates", "look_alikes", "splitting", "similar_vectors", "encoding", "leakage")
 
 
 def modules() -> list[ModuleType]:
