@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.runtime import materialize
+
 MAX_PIVOTS = 16_384
 DEPTH, POSTS, PIVOTS_PER_ROOT = 8, 3, 8
 WHOLE_FILE, RERANK = 2048, 512
@@ -269,14 +271,13 @@ def _first_per_id(entries, k: int):
 def _followers(members: DataFrame, crowded: DataFrame, merged: DataFrame, k: int) -> DataFrame:
     """Answers of the copies that no file holds. The smallest ids of a crowd are found by k + 1 rounds of
     min, each combined on the map side, instead of gathering the crowd."""
-    crowd = members.join(crowded, ["h1", "h2"], "left_semi")
-    heads = None
-    for _ in range(k + 1):
-        rest = crowd if heads is None else crowd.join(heads.select("h1", "h2", "last"), ["h1", "h2"]).filter(F.col("id") > F.col("last")).drop("last")
-        least = rest.groupBy("h1", "h2").agg(F.min("id").alias("last"))
-        heads = least.withColumn("ids", F.array("last")) if heads is None else (
-            heads.select("h1", "h2", "ids").join(least, ["h1", "h2"]).select("h1", "h2", F.concat("ids", F.array("last")).alias("ids"), "last")
-        )
+    crowd = materialize(members.join(crowded, ["h1", "h2"], "left_semi"), "crowd")
+    if crowd.isEmpty():
+        return merged.sparkSession.createDataFrame([], NEAR)
+    heads = materialize(crowd.groupBy("h1", "h2").agg(F.min("id").alias("last")).withColumn("ids", F.array("last")), "heads")
+    for _ in range(k):
+        least = crowd.join(heads, ["h1", "h2"]).filter(F.col("id") > F.col("last")).groupBy("h1", "h2").agg(F.min("id").alias("next"))
+        heads = materialize(heads.join(least, ["h1", "h2"]).select("h1", "h2", F.col("next").alias("last"), F.concat("ids", F.array("next")).alias("ids")), "heads")
     answers = heads.select("h1", "h2", "last", F.transform(F.slice("ids", 1, k), lambda x: F.struct(x.alias("id"), F.lit(1.0).alias("cosine"))).alias("near"))
     return crowd.join(answers, ["h1", "h2"]).filter(F.col("id") > F.col("last")).select("id", "near")
 
