@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-NAMES = ("layout_duplicates", "look_alikes", "splitting", "similar_vectors", "encoding", "leakage", "spam_pages")
+NAMES = ("layout_duplicates", "look_alikes", "splitting", "canonical_values", "similar_vectors", "encoding", "leakage", "spam_pages")
 
 
 def modules() -> list[ModuleType]:
