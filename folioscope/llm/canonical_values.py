@@ -102,13 +102,10 @@ def distance(a: str, b: str, most: float) -> float:
         now = [row[0] + (1.1 if i == 1 else 1.0)]
         for j in range(1, len(b) + 1):
             first = 0.1 if i == 1 and j == 1 else 0.0
-            if a[i - 1] == b[j - 1]:
-                best = row[j - 1]
-            else:
-                best = row[j - 1] + 1.0 + first
-                best = min(best, row[j] + (0.8 if i > 1 and a[i - 1] == a[i - 2] else 1.0), now[j - 1] + (0.8 if j > 1 and b[j - 1] == b[j - 2] else 1.0))
-                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
-                    best = min(best, before[j - 2] + 0.9)
+            best = row[j - 1] + (0.0 if a[i - 1] == b[j - 1] else 1.0 + first)
+            best = min(best, row[j] + (0.8 if i > 1 and a[i - 1] == a[i - 2] else 1.0), now[j - 1] + (0.8 if j > 1 and b[j - 1] == b[j - 2] else 1.0))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                best = min(best, before[j - 2] + 0.9)
             now.append(best)
         if min(now) > most:
             return float("inf")
