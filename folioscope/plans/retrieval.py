@@ -72,10 +72,10 @@ def rerank_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def provenance_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks of the graph nodes that have a workbook."""
-    nodes = table(spark, sf_dir, "graph_nodes").filter("workbook_name is not null")
-    cand = nodes.groupBy("project_id", "workbook_name", "sheet_name").agg(F.min("node_id").alias("node_id"), F.max("confidence").alias("score"))
-    return rt.provenance(cand.filter("score is not null and project_id is not null"), table(spark, sf_dir, "chunks"), candidate="node_id")
+    """Chunks of the sheets that the experiments embedded, by sheet or else by workbook."""
+    e = table(spark, sf_dir, "dualrag_experiment_eval_chunks").filter("source_project_id is not null and workbook_name <> ''")
+    cand = e.groupBy(F.col("source_project_id").alias("project_id"), "workbook_name", "sheet_name").agg(F.min("id").alias("node_id"), F.lit(0.6).alias("score"))
+    return rt.provenance(cand, table(spark, sf_dir, "chunks"), candidate="node_id")
 
 
 _W = " + ".join(f"contains(text, '{w}')::int" for w in WORDS)
@@ -109,8 +109,8 @@ SQL = {
     "rank_comparison": f"""WITH {_KEY}, b AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank_before,
           {_BOOST.format("contains(lower(text), 'order')::int + contains(text, '在庫')::int + contains(lower(text), 'mapping')::int")} AS s FROM k),
         a AS (SELECT *, row_number() OVER (ORDER BY s DESC, doc_id) AS rank_after FROM b) SELECT doc_id, rank_before, rank_after, rank_before - rank_after AS moved FROM a""",
-    "provenance_join": """WITH c AS (SELECT project_id, workbook_name, sheet_name, min(node_id) AS node_id, max(confidence) AS score FROM graph_nodes
-            WHERE workbook_name IS NOT NULL AND project_id IS NOT NULL GROUP BY 1, 2, 3 HAVING max(confidence) IS NOT NULL),
+    "provenance_join": """WITH c AS (SELECT source_project_id AS project_id, workbook_name, sheet_name, min(id) AS node_id, 0.6 AS score FROM dualrag_experiment_eval_chunks
+            WHERE source_project_id IS NOT NULL AND workbook_name <> '' GROUP BY 1, 2, 3),
         k AS (SELECT DISTINCT project_id, workbook_name, sheet_name, chunk_id FROM chunks WHERE coalesce(workbook_name, '') <> ''),
         e AS (SELECT c.node_id, k.chunk_id, 1 AS tier, c.score FROM c JOIN k USING (project_id, workbook_name, sheet_name) WHERE coalesce(c.sheet_name, '') <> ''
             AND c.workbook_name <> ''),
