@@ -89,19 +89,33 @@ def base_map() -> tuple[str, str]:
     return "".join(pairs), "".join(pairs.values())
 
 
+@functools.cache
+def skeleton_map() -> tuple[str, str]:
+    """(from, to): both maps in one, a character sent to the base letter of the one it looks like."""
+    look, base = (dict(zip(*m())) for m in (character_map, base_map))
+    pairs = {}
+    for ch in {*look, *base}:
+        to = look.get(ch, ch)
+        to = base.get(to, to)
+        to = look.get(to, to)
+        if to != ch:
+            pairs[ch] = to
+    return "".join(pairs), "".join(pairs.values())
+
+
+def shown(text: Column) -> Column:
+    """The text without what shows nothing; joiners between pictographs are kept as a character of their own."""
+    return F.regexp_replace(F.regexp_replace(text, JOINER, JOINED), NOTHING, "")
+
+
 def one_form(text: Column) -> Column:
     """The text with every character sent to the one it looks like (marks stay as they are)."""
-    kept = F.regexp_replace(text, JOINER, JOINED)
-    return F.translate(F.regexp_replace(kept, NOTHING, ""), *character_map())
+    return F.translate(shown(text), *character_map())
 
 
-def skeleton(mapped: Column) -> Column:
-    """What canonically equivalent mapped texts have in common: base letters, no marks, no Hangul.
-
-    Look-alike letters with marks (a Cyrillic short i, say) are cut to their base and mapped again.
-    """
-    plain = F.translate(F.translate(mapped, *base_map()), *character_map())
-    return F.regexp_replace(plain, r"[\p{M}\p{Lm}\p{Sk}\u1100-\u11FF\uAC00-\uD7A3]+", "")
+def skeleton(text: Column) -> Column:
+    """What texts of one look have in common: base letters, no marks, no Hangul."""
+    return F.regexp_replace(F.translate(shown(text), *skeleton_map()), r"[\p{M}\p{Lm}\p{Sk}\u1100-\u11FF\uAC00-\uD7A3]+", "")
 
 
 class LookAlikes:
@@ -114,8 +128,7 @@ class LookAlikes:
     def __init__(self, df: DataFrame, *, row_id: str, text: str):
         spark = df.sparkSession
         given = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("raw")).filter(F.col("raw").isNotNull())
-        rows = given.withColumn("mapped", one_form(F.col("raw"))).filter(F.col("mapped").rlike(r"(?U)\S"))
-        bones = rows.select("row_id", F.xxhash64(skeleton(F.col("mapped"))).alias("bones"), F.xxhash64("raw").alias("form"))
+        bones = given.select("row_id", F.xxhash64(skeleton(F.col("raw"))).alias("bones"), F.xxhash64("raw").alias("form"))
         small = materialize(bones, "bones")
         several = small.groupBy("bones").agg(F.min("form").alias("a"), F.max("form").alias("b")).filter("a <> b").select("bones")
         wanted = materialize(small.join(several, "bones", "left_semi").select("row_id"), "wanted")
@@ -123,7 +136,7 @@ class LookAlikes:
         blocks = bf.blocks_for(wanted.count())
         passed = bf.probe(given, F.col("row_id"), bf.build(wanted, F.col("row_id"), blocks), blocks, "maybe").filter("maybe")
         near = passed.select("row_id", "raw").join(wanted, "row_id", "left_semi").withColumn("mapped", one_form(F.col("raw")))
-        near = materialize(near, "near")
+        near = materialize(near.filter(F.col("mapped").rlike(r"(?U)\S")), "near")
         # Deterministic member: the one with least foreign characters, then the smallest as stored.
         self.members = spark.sql(
             """
