@@ -136,7 +136,7 @@ class LookAlikes:
         blocks = bf.blocks_for(wanted.count())
         passed = bf.probe(given, F.col("row_id"), bf.build(wanted, F.col("row_id"), blocks), blocks, "maybe").filter("maybe")
         near = passed.select("row_id", "raw").join(wanted, "row_id", "left_semi").withColumn("mapped", one_form(F.col("raw")))
-        near = materialize(near.filter(F.col("mapped").rlike(r"(?U)\S")), "near")
+        near = materialize(near, "near").filter(F.col("mapped").rlike(r"(?U)\S"))
         # Deterministic member: the one with least foreign characters, then the smallest as stored.
         self.members = spark.sql(
             """
