@@ -33,7 +33,7 @@ def chunk_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evidence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = ch.evidence_units(table(spark, sf_dir, "documents").filter("not contains(text, chr(13))"), key="doc_id", text="text")
+    u = ch.evidence_units(table(spark, sf_dir, "documents"), key="doc_id", text="text")
     return u.select(F.col("key").alias("doc_id"), "section", "line_start", "line_end", F.length("content").alias("chars"))
 
 
@@ -139,10 +139,10 @@ QUERIES = {
     )
 }
 SQL = {
-    "evidence_units": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS c, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents WHERE NOT contains(text, chr(13))),
+    "evidence_units": r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS c, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents WHERE text IS NOT NULL),
         s AS (SELECT *, sum(regexp_matches(c, '^#{1,4}\s+')::int) OVER (PARTITION BY doc_id ORDER BY line) AS section FROM l),
         u AS (SELECT doc_id, section, min(line) AS line_start, max(line) AS line_end, string_agg(c, chr(10) ORDER BY line) AS c FROM s GROUP BY 1, 2),
-        v AS (SELECT *, length(substr(regexp_replace(c, '^[\s　]+|[\s　]+$', '', 'g'), 1, 2000)) AS chars FROM u)
+        v AS (SELECT *, length(substr(regexp_replace(c, '^[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+|[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+$', '', 'g'), 1, 2000)) AS chars FROM u)
         SELECT doc_id, section, line_start, line_end, chars FROM v WHERE chars > 0""",
     "paragraphs": """WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10) || chr(10))) AS p FROM documents WHERE text IS NOT NULL)
         SELECT doc_id, count(*) AS paragraphs, max(length(p)) AS longest FROM p GROUP BY 1""",
