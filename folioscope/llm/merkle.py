@@ -99,7 +99,8 @@ class LayoutIndex:
         bloom = bf.build(repeated, F.col("root"), blocks)
         maybe = bf.probe(self._tree.withColumn("root", root_digest()), F.col("root"), bloom, blocks, "maybe").filter("maybe")
         grouped = maybe.groupBy("root", structure().alias("structure")).agg(F.min("row_id").alias("first_row"), F.count("*").alias("copies"))
-        self.classes = materialize(grouped.filter("copies > 1"), "classes")
+        grouped = materialize(grouped, "grouped")
+        self.classes = grouped.filter("copies > 1")
         # Records whose structure, not root, tells them apart. With 256 bits none was ever seen.
         forms = grouped.groupBy("root").agg(F.count("*").alias("forms")).filter("forms > 1").select("root")
         self.clashes = materialize(forms, "clashes")
