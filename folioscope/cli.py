@@ -12,6 +12,7 @@ from folioscope.functions import models
 from folioscope.operators import chunking as ch
 from folioscope.plans import display
 from folioscope.plans.retriever import Retriever, index_chunks
+from folioscope.runtime import ship
 from folioscope.sources import files, tables
 
 
@@ -82,7 +83,9 @@ def main(argv: list[str] | None = None) -> None:
     command(ask, "vectors", "query", project={"required": True}, top={"type": int, "default": 5}, rerank=flag, answer=flag)
     command(graph, "nodes", "edges", project={}, format={"choices": sorted(display.FORMATS), "default": "compact"})
     a = p.parse_args(argv)
-    a.run(a, _session())
+    spark = _session()
+    ship(spark)
+    a.run(a, spark)
 
 
 if __name__ == "__main__":

@@ -4,15 +4,36 @@ from __future__ import annotations
 
 import atexit
 import functools
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, once, so that they need not have it installed."""
+    _shipped(spark.sparkContext.applicationId, spark.sparkContext)
+
+
+@functools.lru_cache(maxsize=8)
+def _shipped(_application: str, context) -> None:
+    package = Path(__file__).resolve().parent
+    folder = tempfile.mkdtemp(prefix="folioscope-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    path = os.path.join(folder, "folioscope_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of a data directory."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
