@@ -195,6 +195,13 @@ def graph_project_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NORM = "coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(trim(coalesce({0}, ''))), '[^a-z0-9_]', '_', 'g'), '_+', '_', 'g'), '^_|_$', '', 'g'), ''), 'unknown')"
+_UNI = r"coalesce(nullif(regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(coalesce({0}, ''), '^[\s　\x{{a0}}]+|[\s　\x{{a0}}]+$', '', 'g')), '[^\p{{L}}\p{{N}}_]', '_', 'g'), '_+', '_', 'g'), '^_|_$', '', 'g'), ''), 'unknown')"
+_PREFIX = "CASE label " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ids.TYPE_PREFIX.items()) + " ELSE substr(lower(label), 1, 20) END"
+_SHEETS, _GLOBALS = ("(" + ", ".join(f"'{x}'" for x in t) + ")" for t in (ids.STEP_TYPES + ids.SHEET_TYPES, ids.GLOBAL_TYPES))
+_BEST = "arg_max({0}, (coalesce(confidence, 0), -pos)) FILTER ({0} IS NOT NULL AND {0} <> '')"
+_ESC = r"replace(regexp_replace(replace(replace(substr(coalesce({0}, ''), 1, 500), '\', '\\'), '''', '\'''), '\r\n|[\r\n]', ' ', 'g'), ';', '；')"
+_SET = r"CASE WHEN regexp_replace(coalesce({0}, ''), '[\s　\x{{a0}}]+', '', 'g') <> '' THEN 'n.{0} = ''' || " + _ESC + " || '''' END"
+_KIND = "regexp_replace({0}, '[^A-Za-z0-9_]', '_', 'g')"
 _IN = "(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
 _SEEDS = "s AS (SELECT DISTINCT node_id AS a FROM graph_nodes WHERE label = 'System')"
 _WAYS = f"w AS (SELECT DISTINCT a, b, edge, kind FROM (SELECT from_id AS a, to_id AS b, id AS edge, relationship AS kind FROM graph_edges UNION ALL SELECT to_id, from_id, id, relationship FROM graph_edges) WHERE a IS NOT NULL AND b IS NOT NULL AND kind IN {_IN})"
@@ -214,6 +221,16 @@ SQL = {
     "graph_nodes_current": "SELECT node_id, pos, name, label, confidence FROM (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY created_at DESC, pos DESC) AS r FROM graph_nodes) WHERE r = 1 AND deleted_at IS NULL",
     "graph_edges_current": "SELECT id, pos, relationship, confidence FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC, pos DESC) AS r FROM graph_edges) WHERE r = 1",
     "graph_nodes_first": "SELECT node_id, pos, name FROM (SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY pos) AS r FROM graph_nodes) WHERE r = 1",
+    "graph_entities": f"""WITH n AS (SELECT *, {_PREFIX} AS prefix, coalesce(project_id, 'global') AS p, substr({_UNI.format("name")}, 1, 50) AS k,
+          {_UNI.format("workbook_name")} AS b, {_UNI.format("sheet_name")} AS s FROM graph_nodes WHERE label IS NOT NULL),
+        c AS (SELECT *, CASE WHEN label IN {_SHEETS} THEN prefix || ':' || p || ':' || b || ':' || s || ':' || k WHEN label IN {_GLOBALS} THEN prefix || ':' || p || ':' || k
+          ELSE prefix || ':' || p || ':' || b || ':' || k END AS key FROM n)
+        SELECT key, min(pos) AS pos, max(confidence) AS confidence, count(*) AS rows, {_BEST.format("name")} AS name, {_BEST.format("review_status")} AS review_status,
+          {_BEST.format("layer")} AS layer, greatest(0, count(DISTINCT name) FILTER (name <> '') - 1)::int AS aliases FROM c GROUP BY key""",
+    "graph_statements": f"""SELECT 'MERGE (n:' || {_KIND.format("coalesce(label, 'Entity')")} || ' {{id: ''' || {_ESC.format("node_id")} || '''}})' ||
+          CASE WHEN concat_ws(', ', {_SET.format("name")}, {_SET.format("project_id")}) <> '' THEN ' SET ' || concat_ws(', ', {_SET.format("name")}, {_SET.format("project_id")}) ELSE '' END || ';' AS statement FROM graph_nodes
+        UNION ALL SELECT 'MATCH (a {{id: ''' || {_ESC.format("from_id")} || '''}}), (b {{id: ''' || {_ESC.format("to_id")} || '''}}) MERGE (a)-[r:' || {_KIND.format("relationship")} || ' {{id: ''' || {_ESC.format("id")} || '''}}]->(b);'
+          FROM graph_edges WHERE from_id IN (SELECT node_id FROM graph_nodes) AND to_id IN (SELECT node_id FROM graph_nodes)""",
     "graph_edge_numbers": "SELECT pos, 'rel:' || coalesce(project_id, 'global') || ':' || lpad((row_number() OVER (ORDER BY pos))::varchar, 6, '0') AS edge_key FROM graph_edges WHERE review_status = 'verified'",
     "graph_dangling": _DANGLING,
     "graph_connected": "SELECT pos FROM graph_edges WHERE from_id IN (SELECT node_id FROM graph_nodes) AND to_id IN (SELECT node_id FROM graph_nodes)",

@@ -109,6 +109,10 @@ SQL = {
     "rank_comparison": f"""WITH {_KEY}, b AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank_before,
           {_BOOST.format("contains(lower(text), 'order')::int + contains(text, '在庫')::int + contains(lower(text), 'mapping')::int")} AS s FROM k),
         a AS (SELECT *, row_number() OVER (ORDER BY s DESC, doc_id) AS rank_after FROM b) SELECT doc_id, rank_before, rank_after, rank_before - rank_after AS moved FROM a""",
+    "rerank_lexical": f"""WITH k AS (SELECT doc_id, lower(text) AS t, round(({_W}) / {len(WORDS)}.0, 4) AS score FROM documents WHERE ({_W}) > 0 ORDER BY score DESC, doc_id LIMIT 50),
+        c AS (SELECT * FROM k ORDER BY score DESC, doc_id LIMIT 30),
+        m AS (SELECT *, ({" + ".join(f"contains(t, '{w}')::int" for w in ("order", "status", "of", "the", "warehouse", "在庫"))}) / 6.0 AS s FROM c)
+        SELECT doc_id, score, round(s, 4) AS model_score FROM m ORDER BY s DESC, score DESC, doc_id LIMIT 5""",
     "provenance_join": """WITH c AS (SELECT source_project_id AS project_id, workbook_name, sheet_name, min(id) AS node_id, 0.6 AS score FROM dualrag_experiment_eval_chunks
             WHERE source_project_id IS NOT NULL AND workbook_name <> '' GROUP BY 1, 2, 3),
         k AS (SELECT DISTINCT project_id, workbook_name, sheet_name, chunk_id FROM chunks WHERE coalesce(workbook_name, '') <> ''),

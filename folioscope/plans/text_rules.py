@@ -119,6 +119,21 @@ _INTENT = "CASE WHEN " + _TOP + " = 0 THEN 'overview' " + " ".join(f"WHEN {k} =
 _SURE = "CASE WHEN " + _TOP + " = 0 THEN 0.1 " + " ".join(f"WHEN {k} = {_TOP} THEN round(least(1.0, {k} / {len(w)}.0 + 0.3), 2)" for k, w in rules.INTENTS.items()) + " END"
 _KIND = "CASE " + " ".join(f"WHEN regexp_extract(lower(source_file), '(\\.[^./]+)$', 1) IN {_quoted(e)} THEN '{k}'" for k, e in rules.FILE_TYPES.items()) + " ELSE 'unknown' END"
 
+_NAME = "regexp_extract(source_file, '([^/]*)$', 1)"
+_ROLE = (
+    "CASE WHEN kind = 'image' AND size < 10240 THEN 'asset' WHEN kind = 'image' AND contains(lower(folder), 'assets') THEN 'screenshot' "
+    "WHEN contains(lower(name), '.min.js') OR contains(lower(name), '.min.css') THEN 'asset' "
+    + " ".join(f"WHEN regexp_matches(name, '(?i){p}') THEN '{r}'" for p, r in rules.NAME_ROLES)
+    + " "
+    + " ".join(f"WHEN regexp_matches(folder, '(?i){p}') THEN '{r}'" for p, r in rules.FOLDER_ROLES)
+    + " "
+    + " ".join(f"WHEN kind = '{k}' THEN '{r}'" for k, r in rules.TYPE_ROLES.items())
+    + " ELSE 'unknown' END"
+)
+_PARSER = """CASE kind WHEN 'excel_sheet' THEN 'excel_vlm' WHEN 'pdf_native' THEN 'pdf_vlm' WHEN 'docx' THEN CASE WHEN lower(source_file) LIKE '%.doc' THEN 'doc_vlm' ELSE 'docx' END
+    WHEN 'csv' THEN 'csv' WHEN 'mermaid' THEN 'mermaid' WHEN 'markdown' THEN 'markdown' WHEN 'html' THEN 'html' WHEN 'image' THEN CASE WHEN role = 'asset' THEN 'skip' ELSE 'image_vlm' END
+    WHEN 'code' THEN CASE WHEN contains(lower(source_file), '.min.') THEN 'skip' ELSE 'code' END WHEN 'plaintext' THEN 'text' ELSE 'skip' END"""
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -156,6 +171,11 @@ SQL = {
         SELECT pos, intent, confidence, name || ' ' || CASE intent {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.TECHNICAL_WORDS.items())} END AS technical FROM i""",
     "text_missing_values": r"""SELECT coalesce(name IS NULL OR regexp_replace(name, '^\s+|\s+$', '', 'g') IN ('nan', 'None', 'null', 'NaN') OR name = '', true) AS missing,
         count(*) AS nodes FROM graph_nodes GROUP BY 1""",
+    "text_sections": r"""SELECT pos, regexp_extract(content, '\A## [^\r\n]+') AS leading,
+        regexp_replace(regexp_extract(content, '(?m)^## ([^\r\n]*)', 1), '^[\s　\x{a0}]+|[\s　\x{a0}]+$', '', 'g') AS first FROM chunks WHERE content IS NOT NULL""",
+    "file_inventory": f"""WITH f AS (SELECT source_file, sum(length(content)) AS size FROM chunks WHERE source_file IS NOT NULL GROUP BY 1),
+        k AS (SELECT *, {_KIND} AS kind, {_NAME} AS name, string_split(source_file, '/')[1] AS folder FROM f), r AS (SELECT *, {_ROLE} AS role FROM k)
+        SELECT source_file, kind, role, {_PARSER} AS parser FROM r""",
     "text_keywords": """SELECT item_id, list_sort(list_distinct(list_concat(list_concat(regexp_extract_all(text, '[一-鿿㐀-䶿]{2,}'), regexp_extract_all(text, '[゠-ヿ]{3,}')),
         regexp_extract_all(text, '[A-Za-z][A-Za-z0-9_]+')))) AS search,
         array_to_string(list_concat(regexp_extract_all(text, '[　-鿿豈-﫿]+'), list_filter(regexp_extract_all(text, '[A-Za-z_][A-Za-z0-9_]*'), lambda x: length(x) > 1)), ' ') AS lexical FROM eval_items""",
