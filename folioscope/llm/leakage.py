@@ -21,7 +21,8 @@ small set that is sent to every worker; more than ``MAX_ITEM_CHARS`` characters
 Defined results:
 
 * null and empty texts, and texts with fewer than ``run`` letters and digits, leak nothing;
-* copies of a document, and rows that repeat a doc_id, count each but give one row per pair of ids;
+* copies of a document, and rows that repeat a doc_id, count each but give one row per pair of ids; a null
+  doc_id is kept as it is;
 * items with equal texts are each reported; an empty table of documents or items gives no rows;
 * further columns are ignored, whatever their names.
 """
@@ -254,7 +255,7 @@ def _search(items: Items, space: Space, axes: np.ndarray, least: float, paraphra
         ours = unit(space.times(items.parts, axes))
         figures = [set(re.findall(r"\d+", p)) for p in items.parts]
         for batch in batches:
-            docs, parts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            docs, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out = {n: [] for n in ("doc_id", "item_id", "cosine", "exact", "lcs", "answer")}
             for at in range(0, len(parts), 2000):
                 some = parts[at : at + 2000]
@@ -280,7 +281,7 @@ def _search(items: Items, space: Space, axes: np.ndarray, least: float, paraphra
                             answer = len(figures[c] & digits) / len(figures[c]) if figures[c] else 1.0
                             if lcs < 0.6 or answer < 1.0:
                                 continue
-                        for n, v in zip(out, (int(docs[at + r]), i, cosine, exact, lcs, answer)):
+                        for n, v in zip(out, (docs[at + r], i, cosine, exact, lcs, answer)):
                             out[n].append(v)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))

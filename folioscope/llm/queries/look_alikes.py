@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.llm import look_alikes
 from folioscope.llm.look_alikes import LookAlikes, one_form
 from folioscope.runtime import table
 
@@ -38,5 +40,18 @@ def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def _sql(tab: str, field: str) -> str:
+    nothing = re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", look_alikes.NOTHING)
+    joiner = re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", look_alikes.JOINER.replace("(?=", "("))
+    quoted = [s.replace("'", "''") for s in look_alikes.character_map()]
+    shown = f"regexp_replace(regexp_replace({field}, '{joiner}', '\\1\ue0a0\\2', 'g'), '{nothing}', '', 'g')"
+    return f"""SELECT pos, {field} AS raw, nfc_normalize(translate({shown}, '{quoted[0]}', '{quoted[1]}')) AS look FROM {tab} WHERE {field} IS NOT NULL"""
+
+
+def _pairs(tab: str, field: str) -> str:
+    return f"""SELECT '{tab}' AS tab, a.pos AS pos_a, b.pos AS pos_b FROM {tab}_looks a JOIN {tab}_looks b ON a.look = b.look AND a.pos < b.pos AND a.raw <> b.raw
+        WHERE regexp_replace(a.look, '\\s+', '', 'g') <> ''"""
+
+
 QUERIES = {"p3_found": p3_found, "p3_canonical": p3_canonical}
-SQL: dict[str, str] = {}
+SQL = {"p3_found": "WITH " + ", ".join(f"{t}_looks AS ({_sql(t, f)})" for t, f in FIELDS) + " " + " UNION ALL ".join(_pairs(t, f) for t, f in FIELDS)}

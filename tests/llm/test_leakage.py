@@ -33,7 +33,7 @@ def corpus():
         at, n = rng.randint(0, len(plain) - 60), rng.choice([40, 48, 49, 50, 51, 60])
         piece = plain[at : at + n].upper()
         docs.append((d, sentence(rng, rng.randint(0, 90)) + ". " + " - ".join(piece[k : k + 7] for k in range(0, len(piece), 7)) + "! " + sentence(rng, 20)))
-    return docs + [(400, None), (401, ""), (402, items[0][1]), (403, items[0][1]), (404, "x" * 300_000 + items[1][1]), (404, items[1][1])], items
+    return docs + [(400, None), (401, ""), (402, items[0][1]), (403, items[0][1]), (404, "x" * 300_000 + items[1][1]), (404, items[1][1]), (None, items[2][1])], items
 
 
 def test_no_pair_is_lost(spark):
