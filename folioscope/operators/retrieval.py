@@ -37,6 +37,40 @@ def nearest(df: DataFrame, query: Sequence[float] | Column, k: int, *, key: str,
     return found.orderBy("distance", key).limit(k).withColumn("score", vec.distance_score(F.col("distance")))
 
 
+def nearest_keys(df: DataFrame, query: Sequence[float], k: int, *, key: str, embedding: str = "embedding", where: Column | None = None) -> DataFrame:
+    """(key, distance, score) of the exact k nearest, computed on Arrow batches.
+
+    For long vectors: a batch is one matrix, of which only its k best rows leave Python, so the JVM sorts k rows a
+    batch. Same order and ties as ``nearest``; vectors of another length or with other than finite numbers are left out.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    target, dims = np.asarray(query, np.float64), len(query)
+    kind = df.schema[key].dataType
+
+    def run(batches):
+        for batch in batches:
+            keys, column = batch.column(0), batch.column(1)
+            sizes = np.diff(column.offsets.to_numpy())
+            rows = np.flatnonzero((sizes == dims) & np.asarray(column.is_valid()))
+            values = column.values.to_numpy(zero_copy_only=False)
+            x = values[column.offsets.to_numpy()[rows][:, None] + np.arange(dims)].astype(np.float64)
+            x -= target
+            d = np.square(x, out=x).sum(axis=1)
+            good = np.isfinite(d)
+            rows, d = rows[good], d[good]
+            if len(d) > k:  # all rows at the k-th distance stay, the tie is broken by key later
+                some = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
+                rows, d = rows[some], d[some]
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(rows)), pa.array(d)], names=[key, "distance"])
+
+    rows = df if where is None else df.filter(where)
+    given = rows.select(key, F.col(embedding).cast("array<float>").alias("embedding")).filter(F.col("embedding").isNotNull())
+    found = given.mapInArrow(run, f"`{key}` {kind.simpleString()}, distance double")
+    return found.orderBy("distance", key).limit(k).withColumn("score", vec.distance_score(F.col("distance")))
+
+
 def nearest_join(df: DataFrame, queries: DataFrame, k: int, *, key: str, query_key: str, embedding: str = "embedding") -> DataFrame:
     """The k nearest of a small set of queries each (query_key, key, distance, rank).
 

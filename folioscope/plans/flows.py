@@ -15,9 +15,8 @@ def flow_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector search over the experiments' vectors joined with word search over their texts, fused, boosted, reranked."""
     e = table(spark, sf_dir, "dualrag_experiment_eval_chunks").filter(F.size("embedding") == 1024)
     chunks = e.select(F.col("id").alias("chunk_id"), F.col("text").alias("content"), "embedding", F.col("source_project_id").alias("project_id"), "workbook_name", "sheet_name")
-    first = chunks.filter("not exists(embedding, x -> isnan(x))").orderBy("chunk_id").select("embedding").first()
-    query = list(first.embedding)
-    hits, _ = Retriever(spark, chunks.filter("not exists(embedding, x -> isnan(x))").dropDuplicates(["chunk_id"]), embed=lambda texts: [query] * len(texts)).retrieve("order status API 在庫 連携", k=10)
+    query = list(chunks.filter("not exists(embedding, x -> isnan(x))").orderBy("chunk_id").select("embedding").first().embedding)
+    hits, _ = Retriever(spark, chunks, embed=lambda texts: [query] * len(texts)).retrieve("order status API 在庫 連携", k=10)
     return hits.select("chunk_id", "score", "source")
 
 

@@ -53,8 +53,8 @@ class Retriever:
         row = self.spark.range(1).select(rules.query_intent(q).alias("i"), tx.search_keywords(q).alias("words"), tx.boost_keywords(q).alias("boost"), tx.guidance_terms(q).alias("terms")).first()
         trace = Trace(row.i.label, row.i.confidence, list(row.words))
         rows = self.chunks if project is None else self.chunks.filter(F.col("project_id") == project)
-        vector = rt.nearest(rows.select("chunk_id", "embedding"), self.embed([query])[0], 2 * k, key="chunk_id").select("chunk_id", "score")
-        words = rt.keyword_search(rows.select("chunk_id", "content"), row.words, 2 * k, key="chunk_id", text="content").select("chunk_id", "score")
+        vector = rt.nearest_keys(rows, self.embed([query])[0], 2 * k, key="chunk_id").select("chunk_id", "score").dropDuplicates(["chunk_id"])
+        words = rt.keyword_search(rows.select("chunk_id", "content"), row.words, 2 * k, key="chunk_id", text="content").select("chunk_id", "score").dropDuplicates(["chunk_id"])
         hits = rt.fuse(vector, words, key="chunk_id", k=2 * k)
         trace.stages += ["vector", "words", "fuse"]
         if graph and self.nodes is not None and row.terms:

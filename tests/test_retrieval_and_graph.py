@@ -33,6 +33,36 @@ def test_nearest(spark):
     assert rows(rt.nearest_join(df, q, 1, key="id", query_key="q"), "q", "id", "rank") == [(1, 1, 1), (2, 2, 1)]
 
 
+def test_nearest_keys_agrees(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, [float(rng.randint(-2, 2)) for _ in range(6)]) for i in range(500)] + [(900, None), (901, [1.0]), (902, [float("nan")] * 6), (903, [1.0, None, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id int, embedding array<float>").repartition(5)
+    q = [1.0, 0.0, -1.0, 0.0, 2.0, 0.0]
+    clean = df.filter("id < 900")
+    for k in (1, 7, 600):
+        assert rows_of(rt.nearest_keys(df, q, k, key="id")) == rows_of(rt.nearest(clean, q, k, key="id").select("id", "distance", "score"))
+    assert rt.nearest_keys(df.limit(0), q, 3, key="id").count() == 0
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.orderBy("distance", "id").collect()]
+
+
+def test_plans_keep_to_their_shape(spark, tmp_path):
+    """What reaches the scan, what is broadcast, what stays out of Python."""
+    spark.createDataFrame([(1, "a", [1.0], "p")], "id int, text string, embedding array<float>, project string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    p = plan(rt.nearest(df, [1.0], 3, key="id", where=F.col("project") == "p").select("id", "score"))
+    assert "TakeOrderedAndProject" in p and "EqualTo(project,p)" in p and "text" not in p and "Exchange" not in p
+    p = plan(rt.keyword_search(df.select("id", "text"), ["a"], 3, key="id"))
+    assert "Python" not in p and "embedding" not in p and "TakeOrderedAndProject" in p
+    p = plan(gr.latest(df.select("id", "text"), "id", ("text",)))
+    assert p.count("Exchange") == 1 and "Window" not in p
+
+
 def test_keywords_and_rerank(spark):
     df = spark.createDataFrame([(1, "order status"), (2, "Order"), (3, None), (4, "order order stock")], "id int, text string")
     assert rows(rt.keyword_search(df, ["order", "stock"], 5, key="id"), "id", "score") == [(1, 0.5), (4, 1.0)]
