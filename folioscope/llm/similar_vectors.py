@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from folioscope.runtime import materialize
 
+#: Less than 2 ** 15, as a pivot's number takes two bytes.
 MAX_PIVOTS = 16_384
 DEPTH, POSTS, PIVOTS_PER_ROOT = 8, 3, 8
 WHOLE_FILE, RERANK = 2048, 512
@@ -74,7 +75,7 @@ def permutations(x: np.ndarray, pivots: np.ndarray, depth: int) -> np.ndarray:
     top = np.argpartition(-near, depth - 1, axis=1)[:, :depth] if depth < len(pivots) else np.tile(np.arange(len(pivots)), (len(x), 1))
     top = np.sort(top, axis=1)
     order = np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable")
-    return np.take_along_axis(top, order, 1).astype(np.int32)
+    return np.take_along_axis(top, order, 1).astype(np.int16)
 
 
 def coded(x: np.ndarray) -> np.ndarray:
@@ -130,7 +131,7 @@ def nearest_in_file(codes: np.ndarray, perm: np.ndarray, keep: int, whole_file:
     return out, sims
 
 
-POSTED = "file int, id array<string>, vector bigint, vector2 bigint, perm array<int>, code binary"
+POSTED = "file int, id array<string>, vector bigint, vector2 bigint, perm binary, code binary"
 
 
 def _poster(pivots: np.ndarray, dims: int, depth: int, posts: int, keep: int):
@@ -149,13 +150,12 @@ def _poster(pivots: np.ndarray, dims: int, depth: int, posts: int, keep: int):
                 some = [sorted({ids[i] for i in g})[:keep] for g in groups.values()]
                 x = x[firsts]
                 perm, code = permutations(x, pivots, depth), coded(x)
-                m = min(posts, perm.shape[1])
-                raw = [c.tobytes() for c in code]
-                for p in range(m):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(perm[:, p]), pa.array(some, pa.list_(pa.string())), pa.array(h1[firsts]), pa.array(h2[firsts]), pa.array(list(perm), pa.list_(pa.int32())), pa.array(raw, pa.binary())],
-                        names=["file", "id", "vector", "vector2", "perm", "code"],
-                    )
+                columns = [
+                    pa.array(some, pa.list_(pa.string())), pa.array(h1[firsts]), pa.array(h2[firsts]),
+                    pa.array([p.tobytes() for p in perm], pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()),
+                ]
+                for p in range(min(posts, perm.shape[1])):
+                    yield pa.RecordBatch.from_arrays([pa.array(perm[:, p].astype(np.int32)), *columns], names=["file", "id", "vector", "vector2", "perm", "code"])
 
     return run
 
@@ -199,7 +199,7 @@ def _ranker(k: int, dims: int, whole_file: int, rerank: int):
                     keep_row.append(r)
             part = part.take(pa.array(keep_row))
             codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.int8).reshape(len(keep_row), dims)
-            perm = np.array(part.column("perm").to_pylist(), np.int32)
+            perm = np.frombuffer(b"".join(part.column("perm").to_pylist()), np.int16).reshape(len(keep_row), -1)
             numbers, sims = nearest_in_file(codes, perm, 2 * k, whole_file, rerank)
             for i, near in _answer(own, numbers, sims, k):
                 out_ids.append(i)

@@ -63,6 +63,7 @@ def test_a_crowd_of_equal_vectors(spark):
 
 def test_footrule():
     perm = permutations(np.random.default_rng(1).standard_normal((50, 8)), np.random.default_rng(3).standard_normal((12, 8)), 4)
+
     def distance(a, b):
         rank = lambda p, x: list(p).index(x) if x in p else 4
         return sum(abs(rank(a, x) - rank(b, x)) for x in {*a, *b})
