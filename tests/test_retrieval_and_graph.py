@@ -8,6 +8,7 @@ from folioscope.operators import graph as gr
 from folioscope.operators import retrieval as rt
 from folioscope.plans import display
 from folioscope.plans.retriever import Retriever, index_chunks
+from folioscope.plans.session import Session
 
 
 def rows(df, *cols):
@@ -183,3 +184,18 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     assert "1 chunks" in (said := capsys.readouterr().out) and "The order hub keeps every order." in said
     with pytest.raises(SystemExit):
         cli.main(["ask", out, "q", "--project", "p", "--top", "99"])
+
+
+def test_session(spark):
+    chunks = [(f"c{i}", f"{w} number {i}. More of it.", "p1", "b", "s") for i, w in enumerate(["order status", "stock feed", "order hub"])]
+    df = index_chunks(spark.createDataFrame(chunks, "chunk_id string, content string, project_id string, workbook_name string, sheet_name string").withColumn("embedding_text", F.col("content"))).cache()
+    nodes = spark.createDataFrame([("n1", "Order hub", "System", "p1", "b", "s")], "node_id string, name string, label string, project_id string, workbook_name string, sheet_name string")
+    edges = spark.createDataFrame([], "id string, from_id string, to_id string, relationship string")
+    s = Session(Retriever(spark, df, nodes, edges), project="p1")
+    assert s.line("") == "" and s.line("/nope").startswith("no command") and s.line("/last") == "no question yet"
+    assert s.line("/top 99") == "top 20" and s.line("/top x") == "a number" and s.line("/top 2") == "top 2" and s.line("/mode x").startswith("modes")
+    assert len(s.line("order hub").splitlines()) == 2
+    assert s.line("/mode answer") == "mode answer" and "More of it." in s.line("order hub").split("\n\n")[0]
+    s.line("/mode graph"), s.line("/format table")
+    assert "Order hub" in s.line("/last") and s.line("/history").count("order hub") == 3 and "fuse" in s.line("/trace") and s.line("/stats").startswith("3 questions")
+    assert "/mode" in s.line("/help") and s.line("/rerank on") == "rerank on" and s.line("/project") == "project all"
