@@ -11,8 +11,9 @@ pivot orders, and the best are reranked by cosine. Results of a vector's files a
 * A file of up to ``whole_file`` vectors is reranked whole: there the footrule ranking would cost more
   than it saves. Larger ones go through it and rerank ``rerank`` candidates. Work inside a file is done
   in blocks of queries and candidates, so memory follows the file's size, not its square.
-* Vectors travel as one byte a number (the largest of a vector is 127), one copy for each file. The
-  cosines of the rerank are those of the coded vectors; on unit vectors they are off by some 0.0005.
+* Files of pivots that are close to each other form a bundle, which is one group of the shuffle. A vector
+  travels once to each bundle it is posted in, however many of its files lie there.
+* Vectors travel as one byte a number (the largest of a vector is 127). The cosines of the rerank are those of the coded vectors; on unit vectors they are off by some 0.0005.
 * Equal vectors are one entry, with its ``k + 1`` smallest ids: no more can be anybody's neighbour.
   Further copies get their answer by a join on the vector's hash, so a vector that a third of all rows
   share is never gathered in one task.
@@ -131,10 +132,23 @@ def nearest_in_file(codes: np.ndarray, perm: np.ndarray, keep: int, whole_file:
     return out, sims
 
 
-POSTED = "file int, id array<string>, vector bigint, vector2 bigint, perm binary, code binary"
+POSTED = "bundle int, files binary, id array<string>, vector bigint, vector2 bigint, perm binary, code binary"
 
 
-def _poster(pivots: np.ndarray, dims: int, depth: int, posts: int, keep: int):
+def bundled(pivots: np.ndarray, size: int) -> np.ndarray:
+    """The bundle of every pivot: each goes to the closest of every ``size``-th pivot; bundles of more than twice the
+    size are divided, so that none grows with the data's density."""
+    heads = pivots[::size]
+    nearest = np.concatenate([np.argmax(pivots[a : a + 4096] @ heads.T, axis=1) for a in range(0, len(pivots), 4096)])
+    out, number = np.empty(len(pivots), np.int32), 0
+    for members in (np.flatnonzero(nearest == h) for h in range(len(heads))):
+        for a in range(0, len(members), 2 * size):
+            out[members[a : a + 2 * size]] = number
+            number += 1
+    return out
+
+
+def _poster(pivots: np.ndarray, bundles: np.ndarray, dims: int, depth: int, posts: int, keep: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(a, 2000) for a in range(0, batch.num_rows, 2000)):
@@ -154,8 +168,16 @@ def _poster(pivots: np.ndarray, dims: int, depth: int, posts: int, keep: int):
                     pa.array(some, pa.list_(pa.string())), pa.array(h1[firsts]), pa.array(h2[firsts]),
                     pa.array([p.tobytes() for p in perm], pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()),
                 ]
-                for p in range(min(posts, perm.shape[1])):
-                    yield pa.RecordBatch.from_arrays([pa.array(perm[:, p].astype(np.int32)), *columns], names=["file", "id", "vector", "vector2", "perm", "code"])
+                files = perm[:, :posts]
+                where = bundles[files]
+                for p in range(files.shape[1]):
+                    new = np.flatnonzero((where[:, :p] != where[:, p : p + 1]).all(axis=1))  # bundles not sent to yet
+                    here = [files[r][where[r] == where[r, p]].tobytes() for r in new]
+                    rows_ = pa.array(new)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(where[new, p]), pa.array(here, pa.binary()), *[c.take(rows_) for c in columns]],
+                        names=["bundle", "files", "id", "vector", "vector2", "perm", "code"],
+                    )
 
     return run
 
@@ -174,7 +196,7 @@ def _answer(own: list[list[str]], numbers: np.ndarray, sims: np.ndarray, k: int)
             for s, o in others:
                 if o not in seen:
                     seen.add(o)
-                    best.append({"id": o, "cosine": -s})
+                    best.append((o, -s))
                     if len(best) == k:
                         break
             yield i, best
@@ -182,11 +204,12 @@ def _answer(own: list[list[str]], numbers: np.ndarray, sims: np.ndarray, k: int)
 
 def _ranker(k: int, dims: int, whole_file: int, rerank: int):
     def run(group):
-        out_ids, out_near = [], []
-        files = group.column("file").to_numpy()
+        best: dict[str, dict[str, float]] = {}
+        lists = [np.frombuffer(f, np.int16) for f in group.column("files").to_pylist()]
+        files, owners = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(f) for f in lists])
         order = np.argsort(files, kind="stable")
         for members in np.split(order, np.flatnonzero(np.diff(files[order])) + 1):
-            part = group.take(pa.array(members))
+            part = group.take(pa.array(owners[members]))
             entries: dict[tuple[int, int], int] = {}
             own: list[list[str]] = []
             keep_row = []
@@ -202,8 +225,13 @@ def _ranker(k: int, dims: int, whole_file: int, rerank: int):
             perm = np.frombuffer(b"".join(part.column("perm").to_pylist()), np.int16).reshape(len(keep_row), -1)
             numbers, sims = nearest_in_file(codes, perm, 2 * k, whole_file, rerank)
             for i, near in _answer(own, numbers, sims, k):
-                out_ids.append(i)
-                out_near.append(near)
+                mine = best.setdefault(i, {})
+                for other, cosine in near:
+                    mine[other] = max(cosine, mine.get(other, -2.0))
+        out_ids, out_near = [], []
+        for i, mine in best.items():  # one answer of the whole bundle
+            out_ids.append(i)
+            out_near.append([{"id": o, "cosine": c} for o, c in sorted(mine.items(), key=lambda x: (-x[1], x[0]))[:k]])
         kind = pa.list_(pa.struct([("id", pa.string()), ("cosine", pa.float64())]))
         return pa.table({"id": pa.array(out_ids, pa.string()), "near": pa.array(out_near, kind)})
 
@@ -244,10 +272,10 @@ def k_most_similar(
     if not len(pivots):
         return df.sparkSession.createDataFrame([], NEAR)
     hashed = rows.filter(F.size("embedding") == dims).withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")})
-    posted = hashed.select("id", "embedding", "h1", "h2").mapInArrow(_poster(pivots, dims, depth, posts, k + 1), POSTED)
     per_file = max(1.0, total * posts / len(pivots))
-    bundles = max(1, math.ceil(len(pivots) / max(1.0, 1000 / per_file)))
-    ranked = posted.groupBy(F.pmod(F.xxhash64("file"), F.lit(bundles)).alias("bundle")).applyInArrow(_ranker(k, dims, whole_file, rerank), NEAR)
+    bundles = bundled(pivots, max(1, round(1000 / per_file)))
+    posted = hashed.select("id", "embedding", "h1", "h2").mapInArrow(_poster(pivots, bundles, dims, depth, posts, k + 1), POSTED)
+    ranked = posted.groupBy("bundle").applyInArrow(_ranker(k, dims, whole_file, rerank), NEAR)
     best = F.array_sort(F.transform("all", lambda x: F.struct((-x["cosine"]).alias("far"), x["id"].alias("id"))))
     merged = (
         ranked.groupBy("id")
