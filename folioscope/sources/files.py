@@ -24,7 +24,7 @@ from folioscope.functions import ids, rules
 from folioscope.sources import mermaid
 
 # Encodings tried in turn, languages of fenced code by extension, elements of pages that hold no content.
-ENCODINGS = ("utf-8-sig", "utf-8", "cp932", "shift_jis", "euc_jp", "gb18030", "big5", "utf-16", "latin-1")
+ENCODINGS = ("utf-8-sig", "utf-8", "cp932", "shift_jis", "euc_jp", "gb18030", "big5", "latin-1")
 CODE_LANGUAGES = {"java": "java", "py": "python", "sql": "sql", "xml": "xml", "json": "json", "yaml": "yaml", "yml": "yaml", "properties": "properties", "sh": "bash", "bat": "batch", "js": "javascript", "css": "css", "ts": "typescript", "go": "go", "rb": "ruby", "c": "c", "cpp": "cpp", "cs": "csharp"}
 NO_CONTENT = ("script", "style", "nav", "header", "footer", "noscript", "iframe", "meta")
 
@@ -74,6 +74,9 @@ def pending(inventory: DataFrame, parsed: DataFrame | None = None, *, vision: bo
 
 
 def decode(raw: bytes) -> str:
+    """Bytes as text: by the byte order mark, else by the first encoding that fits."""
+    if raw[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return raw.decode("utf-16", "replace")
     for name in ENCODINGS:
         try:
             return raw.decode(name)
@@ -241,34 +244,75 @@ def parse_text(raw: bytes, path: str) -> tuple[str, str]:
     return stem, f"# {stem}\n\n{decode(raw)}"
 
 
-# Words that mark a head row.
-HEAD_WORDS = ("項目名", "桁数", "必須", "データ型", "備考", "説明", "変更日", "変更内容", "担当者", "版", "No", "TOC", "シート名")
+# Words that mark a head row, and words of tables of contents and change histories.
+HEAD_WORDS = ("項目名", "項目記号", "桁数", "種別", "必須", "受入", "出力", "名称出力", "抽出", "並び順", "備考")
+CONTENTS_WORDS = ("ページ", "項目名", "変更内容")
+
+
+def csv_layout(rows: list[list[str]]) -> tuple[str, int]:
+    """(layout, head row): an API specification, a change history, another table with a known head, or free text (-1)."""
+    for i, row in enumerate(rows[:20]):
+        cells = {c.strip() for c in row}
+        if len(cells & set(HEAD_WORDS)) >= 3:
+            return ("api" if "桁数" in cells else "table"), i
+        if len(cells & set(CONTENTS_WORDS)) >= 2:
+            return "history", i
+    return "free", -1
+
+
+def _fields(head: list[str], row: list[str]) -> list[tuple[str, str]]:
+    return [(h.strip(), c.strip()) for h, c in zip(head, row) if h.strip() and c.strip()]
 
 
 def parse_csv(raw: bytes, path: str) -> tuple[str, str]:
-    """Rows as text, all columns strings; the head row is found by its words; 【...】 rows become sections."""
+    """Rows as text, all columns strings, in the layout the head row tells. 【...】 rows become sections.
+
+    An API specification gives a heading and a list per field, and rows that only continue a remark are added to it;
+    a change history gives a line per change; other tables stay tables; rows without a known head are prose, or, where
+    all rows are equally wide, a table with the first row as its head."""
     text, stem = decode(raw), path.rpartition("/")[2].rpartition(".")[0]
-    rows = [r for r in csv.reader(io.StringIO(text), delimiter="\t" if path.lower().endswith(".tsv") else ",") if any(c.strip() for c in r)]
+    rows = [r for r in csv.reader(io.StringIO(text, newline=""), delimiter="\t" if path.lower().endswith(".tsv") else ",") if any(c.strip() for c in r)]
     if not rows:
         return stem, f"# {stem}"
-    heads = [sum(any(w in c for w in HEAD_WORDS) for c in r) for r in rows[:20]]
-    head = next((i for i, n in enumerate(heads) if n >= 3), 0)
-    out = [f"# {stem}", *[" ".join(c for c in r if c.strip()) for r in rows[:head]]]
-    table = [rows[head]]
-    for row in rows[head + 1 :]:
-        first = next((c for c in row if c.strip()), "")
-        if re.fullmatch(r"\s*【.+】\s*", first) and sum(bool(c.strip()) for c in row) == 1:
-            out += [pipe_table(table)] if len(table) > 1 else []
-            out.append(f"## {first.strip()[1:-1]}")
-            table = [rows[head]]
-        elif len(table) > 1 and not row[0].strip() and sum(bool(c.strip()) for c in row) == 1:
-            i = next(i for i, c in enumerate(row) if c.strip())
-            last = [*table[-1], *[""] * (i + 1)][: max(len(table[-1]), i + 1)]
-            last[i] = (last[i] + " " + row[i].strip()).strip()
-            table[-1] = last
+    layout, at = csv_layout(rows)
+    if layout == "free" and len(rows) > 1 and len({len(r) for r in rows}) == 1 and len(rows[0]) > 1 and all(c.strip() for c in rows[0]):
+        layout, at = "table", 0
+    title = next((c.strip() for r in rows[: min(5, max(at, 0))] for c in r if c.strip() and not c.strip().startswith("【")), stem)
+    head = rows[at] if at >= 0 else []
+    out, table = [f"# {title}"], []
+
+    def close() -> None:
+        if table:
+            out.append(pipe_table([head, *table]))
+            table.clear()
+
+    for i, row in enumerate(rows):
+        given = [c.strip() for c in row if c.strip()]
+        section = re.fullmatch(r"【(.+?)】", given[0]) if len(given) == 1 else None
+        if section:
+            close()
+            out.append(f"## {section[1]}")
+        elif i == at or (i < at and given == [title]):
+            continue
+        elif i < at or layout == "free":
+            out.append(" ".join(given))
+        elif layout == "api":
+            if not row[0].strip() and len(given) == 1 and out[-1].startswith("### "):
+                out[-1] += " " + given[0]
+            else:
+                name, *rest = _fields(head, row) or [("", given[0])]
+                out.append("\n".join([f"### {name[1]}", *(f"- {h}: {c}" for h, c in rest)]))
+        elif layout == "history":
+            out.append("- " + ", ".join(f"{h}: {c}" for h, c in _fields(head, row)))
         else:
-            table.append(row)
-    return stem, "\n\n".join([*out, pipe_table(table)])
+            if table and not row[0].strip() and len(given) == 1:
+                place = next(n for n, c in enumerate(row) if c.strip())
+                table[-1] = [*table[-1], *[""] * (place + 1)][: max(len(table[-1]), place + 1)]
+                table[-1][place] = (table[-1][place] + " " + given[0]).strip()
+            else:
+                table.append(row)
+    close()
+    return title, "\n\n".join(out)
 
 
 _W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"

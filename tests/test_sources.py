@@ -47,7 +47,7 @@ def test_scan_and_parse(spark, tree):
     todo = files.pending(inv)
     got = {r.relative_path: r for r in files.parse_files(spark, todo).join(inv.select("doc_id", "relative_path"), "doc_id").collect()}
     assert len(got) == 7 and got["old/book.doc"].state == "parse_failed" and got["old/book.doc"].error
-    assert "| name | 10,2 | yes |" in got["spec/fields.csv"].content_markdown
+    assert got["spec/fields.csv"].content_markdown == "# fields\n\n### name\n- 桁数: 10,2\n- 必須: yes"
     page = got["spec/page.html"]
     assert page.title == "Page" and "# One" in page.content_markdown and "- x" in page.content_markdown and "| c |" in page.content_markdown and "skip" not in page.content_markdown
     assert got["doc/text.docx"].content_markdown == "# Top\n\npara\n\n- item\n\n| h1 | h2 |\n|---|---|\n| 1 |  |"
@@ -61,6 +61,18 @@ def test_scan_and_parse(spark, tree):
     assert m["files"] == 10 and m["source_type"]["csv"] == 1
 
 
+@pytest.mark.parametrize(("text", "title", "markdown"), [
+    ("Spec,,\n,,\n項目名,桁数,必須\n【注文】,,\nid,10,yes\n,,see note\nqty,3,no\n", "Spec", "# Spec\n\n## 注文\n\n### id\n- 桁数: 10\n- 必須: yes see note\n\n### qty\n- 桁数: 3\n- 必須: no"),
+    ("ページ,変更内容\n1,added\n2,fixed\n", "f", "# f\n\n- ページ: 1, 変更内容: added\n\n- ページ: 2, 変更内容: fixed"),
+    ("項目名,種別,備考\na,x,one\n,,two\n", "f", "# f\n\n| 項目名 | 種別 | 備考 |\n|---|---|---|\n| a | x | one two |"),
+    ("a note,\n【Part】,\nmore text,here\n", "f", "# f\n\na note\n\n## Part\n\nmore text here"),
+    ("k,v\n1,2\n", "f", "# f\n\n| k | v |\n|---|---|\n| 1 | 2 |"), ("", "f", "# f"),
+])
+def test_csv_layouts(text, title, markdown):
+    assert files.parse_csv(text.encode(), "d/f.csv") == (title, markdown)
+    assert files.parse_csv(text.replace(",", "\t").encode("utf-16"), "d/f.tsv")[0] == title
+
+
 def test_front_matter(spark):
     good = "---\nproject_id: p1\npages: [1, 2]\n---\n\nbody"
     assert files.front_matter(good) == ({"project_id": "p1", "pages": [1, 2]}, "body")
