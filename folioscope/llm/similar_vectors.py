@@ -44,7 +44,7 @@ from folioscope.runtime import materialize
 
 #: Less than 2 ** 15, as a pivot's number takes two bytes.
 MAX_PIVOTS = 16_384
-DEPTH, POSTS, PIVOTS_PER_ROOT = 8, 3, 8
+DEPTH, POSTS, PIVOTS_PER_ROOT = 8, 4, 8
 WHOLE_FILE, RERANK = 2048, 512
 BLOCK = 512
 
