@@ -220,7 +220,7 @@ def mermaid_chunks(markdown: str, most: int = 4000, target: int = 2000) -> list[
 PARTS = "key string, parts array<struct<no: int, label: string, text: string>>"
 
 
-def _splitter(strategy_of, most: int | None, least: int, target: int):
+def _splitter(most: int | None, least: int, target: int):
     kind = pa.list_(pa.struct([("no", pa.int32()), ("label", pa.string()), ("text", pa.string())]))
 
     def one(strategy: str, text: str):
@@ -255,7 +255,7 @@ def strategy(source_type, parser=None):
 def chunk_documents(docs: DataFrame, *, key: str, body: str, strategy: str, most: int | None = None, least: int = 100, target: int = 2000) -> DataFrame:
     """(key, chunk_index, label, content) of every document, by the splitter its ``strategy`` column names."""
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(strategy).alias("strategy"), F.coalesce(F.col(body), F.lit("")).alias("body"))
-    cut = rows.mapInArrow(_splitter(None, most, least, target), PARTS)
+    cut = rows.mapInArrow(_splitter(most, least, target), PARTS)
     return cut.select("key", F.inline("parts")).select("key", F.col("no").alias("chunk_index"), "label", F.col("text").alias("content"))
 
 
