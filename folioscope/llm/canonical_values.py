@@ -44,7 +44,8 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.look_alikes import character_map
 
-MAX_ENTRIES = 20_000
+#: About 600 index strings an entry: 300 MB of index in a worker at this number.
+MAX_ENTRIES = 3_000
 BOUND, SHORT = 2, 6
 LEFT_OUT = 0.3
 
