@@ -59,12 +59,16 @@ LAYER_NODES, LAYER_EDGES = 60, 80
 
 
 def layered_context(nodes: DataFrame, edges: DataFrame, *, layers: dict[str, Sequence[str]] | None = None, most_nodes: int = LAYER_NODES, most_edges: int = LAYER_EDGES) -> tuple[DataFrame, DataFrame]:
-    """Nodes and edges of every layer, the surest first, a fixed number of each: (layer, node_id, ...), (layer, id, ...)."""
+    """Nodes and edges of every layer, the surest first, a fixed number of each shown: (layer, node_id, ...), (layer, pos, ...).
+
+    An edge belongs to a layer by the labels of both its ends, whether these are among the nodes shown or not.
+    """
     layers = layers or {"business": BUSINESS, "implementation": IMPLEMENTATION}
     kept_nodes, kept_edges = None, None
     for name, labels in layers.items():
-        n = nodes.filter(F.col("label").isin(*labels)).groupBy("node_id").agg(F.max("confidence").alias("confidence")).orderBy(F.desc_nulls_last("confidence"), "node_id").limit(most_nodes)
-        e = connected(edges, n).orderBy(F.desc_nulls_last("confidence"), "pos").limit(most_edges)
+        every = nodes.filter(F.col("label").isin(*labels)).groupBy("node_id").agg(F.max("confidence").alias("confidence"))
+        n = every.orderBy(F.desc_nulls_last("confidence"), "node_id").limit(most_nodes)
+        e = connected(edges, every).orderBy(F.desc_nulls_last("confidence"), "pos").limit(most_edges)
         n, e = n.select(F.lit(name).alias("layer"), "node_id", "confidence"), e.select(F.lit(name).alias("layer"), "pos", "relationship")
         kept_nodes, kept_edges = (n, e) if kept_nodes is None else (kept_nodes.unionByName(n), kept_edges.unionByName(e))
     return kept_nodes, kept_edges

@@ -66,6 +66,15 @@ def test_diagram_links(spark):
     assert {(r.diagram, r.book, r.score) for r in linking.diagram_links(d, b, shared).collect()} >= {("zzz", "order_book", 0.25)}
 
 
+def test_layer_edges_reach_beyond_the_nodes_shown(spark):
+    n = spark.createDataFrame([("a", "System", 0.9), ("b", "Interface", 0.8), ("c", "DataFlow", 0.1), ("d", "DataEntity", None), ("f", "Field", 1.0)], "node_id string, label string, confidence double")
+    e = spark.createDataFrame([(1, "c", "d", 0.9), (2, "a", "c", 0.5), (3, "a", "b", 0.1), (4, "a", "f", 1.0), (5, "a", "gone", 1.0)], "pos long, from_id string, to_id string, confidence double").withColumn("relationship", F.lit("USES"))
+    nodes, edges = linking.layered_context(n, e, layers={"business": linking.BUSINESS}, most_nodes=2)
+    assert [r.node_id for r in nodes.collect()] == ["a", "b"]
+    assert sorted(r.pos for r in edges.collect()) == [1, 2, 3]
+    assert sorted(r.pos for r in linking.layered_context(n, e, layers={"business": linking.BUSINESS}, most_nodes=2, most_edges=2)[1].collect()) == [1, 2]
+
+
 def test_snapshot_changes(spark):
     a = spark.createDataFrame([("p", 1), ("p", 2), ("q", 3)], "project_id string, v int")
     before = linking.snapshot({"t": a})
