@@ -123,15 +123,15 @@ def display_graph(nodes: DataFrame, edges: DataFrame, *, types: Sequence[str], l
 # -- search and traversal ---------------------------------------------------------------------------------------------------
 
 
-def name_search(nodes: DataFrame, terms: DataFrame, *, term: str, node: str = "node_id", name: str = "name", per_term: int = 10, most_terms: int = 1000) -> DataFrame:
-    """Nodes whose name holds a term, in any case, at most ``per_term`` of each term, by node id.
+def name_search(nodes: DataFrame, terms: DataFrame, *, term: str, node: str = "node_id", name: str = "name", per_term: int | None = 10, most_terms: int = 1000) -> DataFrame:
+    """Nodes whose name holds a term, in any case, at most ``per_term`` of each term, by node id (all if None).
 
     ``terms`` is a query's terms: more than ``most_terms`` are refused (use ``contains_join``)."""
     if terms.count() > most_terms:
         raise ValueError("too many terms")
     t = terms.select(F.col(term).alias("term_"), F.lower(term).alias("low_")).filter("low_ <> ''")
     hits = nodes.join(F.broadcast(t), F.lower(name).contains(F.col("low_"))).select(F.col("term_").alias(term), node, name).distinct()
-    return top_n_per(hits, [term], [F.col(node), F.col(name)], per_term, node)
+    return hits if per_term is None else top_n_per(hits, [term], [F.col(node), F.col(name)], per_term, node)
 
 
 GRAM = 3

@@ -27,7 +27,7 @@ def graph_sheets_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets one edge from nodes that a term names, else two edges."""
     n, e = table(spark, sf_dir, "graph_nodes"), table(spark, sf_dir, "graph_edges")
     terms = spark.createDataFrame([("Order Hub",), ("stock",)], "term string")
-    seeds = gr.name_search(n.select("node_id", "name"), terms, term="term", per_term=50).select(F.col("node_id").alias("a")).distinct()
+    seeds = gr.name_search(n.select("node_id", "name"), terms, term="term", per_term=None).select(F.col("node_id").alias("a")).distinct()
     ways = gr.both_ways(e).select("a", "b").distinct()
     sheets = n.filter("label = 'Sheet'").select(F.col("node_id").alias("b")).distinct()
     one = seeds.join(ways, "a")

@@ -7,6 +7,7 @@ from folioscope import cli
 from folioscope.operators import graph as gr
 from folioscope.operators import retrieval as rt
 from folioscope.plans import display
+from folioscope.plans.experiments import graph_sheets_near
 from folioscope.plans.retriever import Retriever, index_chunks
 from folioscope.plans.session import Session
 
@@ -117,6 +118,13 @@ def test_traversal_walks_no_edge_twice(spark):
     assert rows(gr.reachable(seeds, edges, seed="node_id"), "found", "steps") == [("b", 1), ("c", 2), ("d", 2), ("zz", 1)]
 
 
+def test_sheets_near_takes_every_named_node(spark, tmp_path):
+    n = [(f"n{i:03}", "Field", f"stock {i}") for i in range(60)] + [(f"s{i:03}", "Sheet", "") for i in range(60)]
+    spark.createDataFrame(n, "node_id string, label string, name string").write.parquet(str(tmp_path / "graph_nodes.parquet"))
+    spark.createDataFrame([(f"e{i}", f"n{i:03}", f"s{i:03}", "HAS_FIELD") for i in range(60)], "id string, from_id string, to_id string, relationship string").write.parquet(str(tmp_path / "graph_edges.parquet"))
+    assert rows(graph_sheets_near(spark, str(tmp_path)), "sheet", "steps") == [(f"s{i:03}", 1) for i in range(60)]
+
+
 def test_merge_and_upsert(spark):
     n = spark.createDataFrame([("k", 1, 0.5, "A", ""), ("k", 2, 0.9, "B", None), ("k", 3, 0.9, "C", "x"), ("k", 4, None, "A", "y"), ("m", 5, None, None, None)], "key string, pos int, confidence double, name string, layer string")
     got = {r.key: r for r in gr.merge_entities(n, "key", fields=("name", "layer")).collect()}
