@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.operators.graph import connected, contains_join
+from folioscope.sources import mermaid
 
 
 def named_links(texts: DataFrame, names: DataFrame, existing: DataFrame, *, kind: str, confidence: float = 0.70) -> DataFrame:
@@ -52,6 +53,38 @@ def diagram_links(diagrams: DataFrame, books: DataFrame, shared: DataFrame | Non
     return scored.groupBy("project_id", "diagram").agg(best.alias("l")).select("project_id", "diagram", "l.book", "l.score")
 
 
+def diagram_labels(pieces: DataFrame) -> DataFrame:
+    """(project_id, diagram, label): labels of more than three characters of the nodes in every diagram's Mermaid text.
+
+    ``pieces``: project_id, diagram, source_file, place, content; the pieces of a file are put together in the order of ``place``. The
+    text is that of the fenced blocks, or the whole file if it begins as a flowchart does.
+    """
+    import pyarrow as pa
+
+    def labels(batches):
+        for batch in batches:
+            out: list[list] = []
+            for text in batch.column(2).to_pylist():
+                sources = mermaid.fenced(text) or ([text] if text.lstrip().startswith(("flowchart", "graph ", "%%")) else [])
+                out.append(sorted({n["label"] for s in sources for n in mermaid.parse(s).nodes if len(n["label"]) > 3}))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.string()))], names=["project_id", "diagram", "labels"])
+
+    piece = F.struct("place", "content")
+    files = pieces.filter("content is not null").groupBy("project_id", "diagram", "source_file").agg(F.array_sort(F.collect_set(piece)).alias("p"))
+    texts = files.select("project_id", "diagram", F.array_join(F.col("p.content"), "\n").alias("text"))
+    return texts.mapInArrow(labels, "project_id string, diagram string, labels array<string>").select("project_id", "diagram", F.explode("labels").alias("label")).distinct()
+
+
+def shared_labels(labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """(project_id, diagram, book, labels): how many labels of a diagram, in any case, the texts of a workbook of its project hold.
+
+    ``labels``: project_id, diagram, label; ``texts``: key (unique), project_id, book, content. All labels of a diagram count.
+    """
+    found = contains_join(texts, labels.select("label").distinct(), text_key="key", text="content", name_key="label", name="label")
+    held = found.join(texts.select("key", "project_id", "book"), "key").select("project_id", "book", "label").distinct()
+    return held.join(labels, ["project_id", "label"]).groupBy("project_id", "diagram", "book").agg(F.count("*").alias("labels"))
+
+
 # Labels of the two layers of a context and how much of each is shown.
 BUSINESS = ("System", "Interface", "DataFlow", "BusinessRule", "BusinessProcess", "DataEntity")
 IMPLEMENTATION = ("Field", "FieldMapping", "FlowNode", "MappingRule", "APIOperation", "ScriptStep")

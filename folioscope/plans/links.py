@@ -48,8 +48,9 @@ def graph_layer_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_diagrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "chunks").filter("project_id is not null")
-    d = c.filter("source_type = 'mermaid'").select("project_id", F.regexp_extract("source_file", r"([^/]+)\.[^.]+$", 1).alias("diagram"))
-    return linking.diagram_links(d, c.filter("workbook_name <> ''").select("project_id", F.col("workbook_name").alias("book")))
+    d = c.filter("source_type = 'mermaid'").select("project_id", F.regexp_extract("source_file", r"([^/]+)\.[^.]+$", 1).alias("diagram"), "source_file", F.col("chunk_index").alias("place"), "content")
+    b = c.filter("workbook_name <> ''").select(F.col("pos").alias("key"), "project_id", F.col("workbook_name").alias("book"), "content")
+    return linking.diagram_links(d, b, linking.shared_labels(linking.diagram_labels(d), b))
 
 
 def snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import layout
 from folioscope.operators import extraction as ex
 from folioscope.operators import linking
+from folioscope.plans import links
 
 
 def test_entities(spark):
@@ -66,6 +67,14 @@ def test_diagram_links(spark):
     assert {(r.diagram, r.book, r.score) for r in linking.diagram_links(d, b, shared).collect()} >= {("zzz", "order_book", 0.25)}
 
 
+def test_diagrams_are_linked_by_shared_labels(spark, tmp_path):
+    source = ["# zzz\n```mermaid\nflowchart TD", "A[Check stock] --> B{Stock left?}\nB -->|no| C[Order more]", "C --> D[Send order]\nD --> E[End]\n```"]
+    made = [(i, "p", "mermaid/zzz.mmd", "mermaid", "", i, s) for i, s in enumerate(source)] + [(9, "p", "mermaid/yyy.mmd", "mermaid", "", 0, "prose about Check stock [not a node]")]
+    made += [(10, "p", "x", "excel", "book_one.xlsx", 0, "CHECK STOCK, then: stock left?"), (11, "p", "x", "excel", "book_one.xlsx", 1, "order more; send order"), (12, "p", "x", "excel", "book_two.xlsx", 0, "check stock, send order, order more"), (13, "q", "x", "excel", "book_q.xlsx", 0, "check stock, stock left? order more, send order")]
+    spark.createDataFrame(made, "pos long, project_id string, source_file string, source_type string, workbook_name string, chunk_index int, content string").write.parquet(str(tmp_path / "chunks.parquet"))
+    assert [(r.project_id, r.diagram, r.book, r.score) for r in links.link_diagrams(spark, str(tmp_path)).collect()] == [("p", "zzz", "book_one.xlsx", 0.2)]
+
+
 def test_layer_edges_reach_beyond_the_nodes_shown(spark):
     n = spark.createDataFrame([("a", "System", 0.9), ("b", "Interface", 0.8), ("c", "DataFlow", 0.1), ("d", "DataEntity", None), ("f", "Field", 1.0)], "node_id string, label string, confidence double")
     e = spark.createDataFrame([(1, "c", "d", 0.9), (2, "a", "c", 0.5), (3, "a", "b", 0.1), (4, "a", "f", 1.0), (5, "a", "gone", 1.0)], "pos long, from_id string, to_id string, confidence double").withColumn("relationship", F.lit("USES"))
