@@ -272,10 +272,10 @@ def described(chunks: DataFrame, *, source_type, document, sheet_name) -> DataFr
     })
 
 
-def evidence_units(docs: DataFrame, *, key: str, text: str, most: int = 2000) -> DataFrame:
-    """Sections at headings of the first four levels with their line range (from 0), text cut to ``most`` characters.
+def evidence_units(docs: DataFrame, *, key: str, text: str, most: int | None = None) -> DataFrame:
+    """Sections at headings of the first four levels with their line range (from 0) and whole text, cut to ``most`` characters only if given.
 
-    The section's number is a running count of headings over the document's lines.
+    The section's number is a running count of headings over the document's lines; its kind is that of the whole text.
     """
     from pyspark.sql import Window
 
@@ -286,8 +286,8 @@ def evidence_units(docs: DataFrame, *, key: str, text: str, most: int = 2000) ->
         F.min("line").alias("line_start"), F.max("line").alias("line_end"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "content"))), lambda x: x["content"]), "\n").alias("content"),
     )
-    out = out.withColumn("content", F.substring(tx.strip(F.col("content")), 1, most)).filter("content <> ''")
-    return out.withColumn("kind", rules.evidence_kind(F.col("content")))
+    out = out.withColumn("content", tx.strip(F.col("content"))).filter("content <> ''").withColumn("kind", rules.evidence_kind(F.col("content")))
+    return out if most is None else out.withColumn("content", F.substring("content", 1, most))
 
 
 def mentions_together(docs: DataFrame, *, key: str, text: str, pattern: str) -> DataFrame:

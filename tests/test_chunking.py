@@ -118,6 +118,13 @@ def test_evidence_units(spark):
     assert got == [(1, 0, 0, 0, "section"), (1, 1, 1, 3, "section"), (1, 2, 4, 6, "table")]
 
 
+def test_evidence_units_are_whole(spark):
+    text = "# A\n" + "x" * 2500 + "\n|a|b|c|d|"
+    df = spark.createDataFrame([(1, text)], "k int, text string")
+    assert [(r.content, r.kind) for r in ch.evidence_units(df, key="k", text="text").collect()] == [(text, "table")]
+    assert [(r.content, r.kind) for r in ch.evidence_units(df, key="k", text="text", most=2000).collect()] == [(text[:2000], "table")]
+
+
 def test_upper_median(spark):
     df = spark.createDataFrame([("a", v) for v in (5, 1, 3, 3)] + [("b", 2)] + [("c", None)], "g string, v int")
     assert {r.g: r.upper_median for r in upper_median(df, ["g"], "v").collect()} == {"a": 3, "b": 2}
