@@ -42,7 +42,7 @@ def chunk_type(text: Column, sheet_name: Column | None = None) -> Column:
     return by_keywords(both, CHUNK_TYPES, "overview")
 
 
-# Kinds of sheets by what their text begins with, in order.
+# Kinds of sheets by the words of their text, in order.
 SHEET_KINDS = (
     ("overview", ("変更履歴", "change history", "表紙", "cover")),
     ("overview", ("目次", "table of contents")),
@@ -60,10 +60,10 @@ SHEET_KINDS = (
 )
 
 
-def sheet_kind(text: Column) -> Column:
-    """By the first 3000 and 5000 characters, as the two are read together."""
-    head = F.concat_ws(" ", F.substring(text, 1, 3000), F.substring(text, 1, 5000))
-    return by_keywords(head, SHEET_KINDS, "unknown")
+def sheet_kind(text: Column, *, parity: bool = False) -> Column:
+    """By the whole text; with ``parity`` by the first 3000 and 5000 characters, as the reference reads the two together."""
+    read = F.concat_ws(" ", F.substring(text, 1, 3000), F.substring(text, 1, 5000)) if parity else text
+    return by_keywords(read, SHEET_KINDS, "unknown")
 
 
 def sheet_tab_kind(sheet: Column, workbook: Column) -> Column:

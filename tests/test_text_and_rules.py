@@ -89,3 +89,9 @@ def test_models_are_deterministic_and_fail_softly(spark):
         return list(texts)
 
     assert models.with_retry(flaky, wait=0)(["x"]) == ["x"]
+
+
+def test_sheet_kind_reads_the_whole_text(spark):
+    df = spark.createDataFrame([("x" * 6000 + " endpoint",), ("x" * 6000,), (None,)], "t string")
+    got = df.select(rules.sheet_kind(F.col("t")).alias("whole"), rules.sheet_kind(F.col("t"), parity=True).alias("parity")).collect()
+    assert [tuple(r) for r in got] == [("api_request_response_spec", "unknown"), ("unknown", "unknown"), ("unknown", "unknown")]
