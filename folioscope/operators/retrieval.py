@@ -37,11 +37,12 @@ def nearest(df: DataFrame, query: Sequence[float] | Column, k: int, *, key: str,
     return found.orderBy("distance", key).limit(k).withColumn("score", vec.distance_score(F.col("distance")))
 
 
-def nearest_keys(df: DataFrame, query: Sequence[float], k: int, *, key: str, embedding: str = "embedding", where: Column | None = None) -> DataFrame:
+def nearest_keys(df: DataFrame, query: Sequence[float], k: int, *, key: str, embedding: str = "embedding", where: Column | None = None, once: bool = False) -> DataFrame:
     """(key, distance, score) of the exact k nearest, computed on Arrow batches.
 
     For long vectors: a batch is one matrix, of which only its k best rows leave Python, so the JVM sorts k rows a
     batch. Same order and ties as ``nearest``; vectors of another length or with other than finite numbers are left out.
+    With ``once`` the rows of a key count as one, the nearest, so that they don't use up the k places.
     """
     import numpy as np
     import pyarrow as pa
@@ -60,6 +61,10 @@ def nearest_keys(df: DataFrame, query: Sequence[float], k: int, *, key: str, emb
             d = np.square(x, out=x).sum(axis=1)
             good = np.isfinite(d)
             rows, d = rows[good], d[good]
+            if once:  # the nearest row of each key of the batch
+                rows = rows[order := np.argsort(d, kind="stable")]
+                first = np.unique(keys.take(pa.array(rows)).dictionary_encode().indices.to_numpy(zero_copy_only=False), return_index=True)[1]
+                rows, d = rows[first], d[order][first]
             if len(d) > k:  # all rows at the k-th distance stay, the tie is broken by key later
                 some = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1])
                 rows, d = rows[some], d[some]
@@ -68,6 +73,8 @@ def nearest_keys(df: DataFrame, query: Sequence[float], k: int, *, key: str, emb
     rows = df if where is None else df.filter(where)
     given = rows.select(key, F.col(embedding).cast("array<float>").alias("embedding")).filter(F.col("embedding").isNotNull())
     found = given.mapInArrow(run, f"`{key}` {kind.simpleString()}, distance double")
+    if once:
+        found = found.groupBy(key).agg(F.min("distance").alias("distance"))
     return found.orderBy("distance", key).limit(k).withColumn("score", vec.distance_score(F.col("distance")))
 
 
@@ -99,10 +106,11 @@ def keyword_score(text: Column, words: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, [text.contains(w).cast("int") for w in words]) / F.lit(float(len(words)))
 
 
-def keyword_search(df: DataFrame, words: Sequence[str], k: int, *, key: str, text: str = "text", where: Column | None = None) -> DataFrame:
-    """The k texts with most of the words, over the whole table."""
+def keyword_search(df: DataFrame, words: Sequence[str], k: int, *, key: str, text: str = "text", where: Column | None = None, once: bool = False) -> DataFrame:
+    """The k texts with most of the words, over the whole table. With ``once`` the rows of a key count as one: (key, score), the best."""
     rows = df if where is None else df.filter(where)
-    return top_k(rows.withColumn("score", F.round(keyword_score(F.col(text), words), 4)).filter("score > 0"), k, "score", key)
+    hits = rows.withColumn("score", F.round(keyword_score(F.col(text), words), 4)).filter("score > 0")
+    return top_k(hits.groupBy(key).agg(F.max("score").alias("score")) if once else hits, k, "score", key)
 
 
 def keyword_boost(hits: DataFrame, words: Sequence[str], *, text: str = "text", score: str = "score") -> DataFrame:

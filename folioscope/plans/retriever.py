@@ -53,14 +53,15 @@ class Retriever:
         row = self.spark.range(1).select(rules.query_intent(q).alias("i"), tx.search_keywords(q).alias("words"), tx.boost_keywords(q).alias("boost"), tx.guidance_terms(q).alias("terms")).first()
         trace = Trace(row.i.label, row.i.confidence, list(row.words))
         rows = self.chunks if project is None else self.chunks.filter(F.col("project_id") == project)
-        vector = rt.nearest_keys(rows, self.embed([query])[0], 2 * k, key="chunk_id").select("chunk_id", "score").dropDuplicates(["chunk_id"])
-        words = rt.keyword_search(rows.select("chunk_id", "content"), row.words, 2 * k, key="chunk_id", text="content").select("chunk_id", "score").dropDuplicates(["chunk_id"])
+        vector = rt.nearest_keys(rows, self.embed([query])[0], 2 * k, key="chunk_id", once=True).select("chunk_id", "score")
+        words = rt.keyword_search(rows.select("chunk_id", "content"), row.words, 2 * k, key="chunk_id", text="content", once=True)
         hits = rt.fuse(vector, words, key="chunk_id", k=2 * k)
         trace.stages += ["vector", "words", "fuse"]
         if graph and self.nodes is not None and row.terms:
             hits = hits.select("chunk_id", "score", "source").unionByName(self._from_graph(rows, row.terms, trace, project).join(hits.select("chunk_id"), "chunk_id", "left_anti"))
             trace.stages.append("graph")
-        found = hits.select("chunk_id", "score", "source").join(rows.select("chunk_id", "content").dropDuplicates(["chunk_id"]), "chunk_id")
+        copies = hits.select("chunk_id", "score", "source").join(rows.select("chunk_id", "content"), "chunk_id")
+        found = copies.groupBy("chunk_id", "score", "source").agg(F.max("content").alias("content"))
         if row.boost:
             found = rt.keyword_boost(found, list(row.boost), text="content")
             trace.stages.append("boost")

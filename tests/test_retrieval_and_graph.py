@@ -179,6 +179,17 @@ def test_retriever_keeps_to_its_project(spark):
         assert 0 < len(got) <= 4 and {int(h.chunk_id[1:]) % 2 for h in got} == {1} and "fuse" in trace.stages
 
 
+def test_copies_of_a_chunk_use_one_place(spark):
+    chunks = [("c0", "order hub", [1.0, 0.0])] * 30 + [(f"c{i}", f"order number {i}", [1.0, i / 10]) for i in range(1, 7)]
+    df = spark.createDataFrame(chunks, "chunk_id string, content string, embedding array<double>").withColumns({c: F.lit("p") for c in ("project_id", "workbook_name", "sheet_name")})
+    for parts in (1, 5):
+        r = Retriever(spark, df.repartition(parts), embed=lambda texts: [[1.0, 0.0]] * len(texts))
+        assert [h.chunk_id for h in r.retrieve("order hub", k=5)[0].collect()] == ["c0", "c1", "c2", "c3", "c4"]
+        near = rt.nearest_keys(df.repartition(parts), [1.0, 0.0], 3, key="chunk_id", once=True).collect()
+        assert [(h.chunk_id, round(h.distance, 4)) for h in near] == [("c0", 0.0), ("c1", 0.01), ("c2", 0.04)]
+        assert [h.chunk_id for h in rt.keyword_search(df.repartition(parts), ["order"], 3, key="chunk_id", text="content", once=True).collect()] == ["c0", "c1", "c2"]
+
+
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr(cli, "_session", lambda: spark)
     (tmp_path / "in").mkdir()
