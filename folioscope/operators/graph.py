@@ -9,6 +9,7 @@ adaptive skew handling, which splits the side of the edges.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -241,18 +242,22 @@ def walks(seeds: DataFrame, edges: DataFrame, *, seed: str, depth: int, directed
     return out
 
 
-def reachable(seeds: DataFrame, edges: DataFrame, *, seed: str, most_steps: int = 100) -> DataFrame:
+def reachable(seeds: DataFrame, edges: DataFrame, *, seed: str, most_steps: int | None = None) -> DataFrame:
     """(seed, found, steps) of all nodes reachable along edges, each at its fewest steps. Every step is written, so
-    the lineage stays short; it ends when a step finds nothing new."""
+    the lineage stays short; it ends when a step finds nothing new. More than ``most_steps``, if given, are refused."""
     ways = edges.select(F.col("from_id").alias("at"), F.col("to_id").alias("next")).filter("at is not null and next is not null").distinct()
     found = materialize(seeds.select(F.col(seed).alias("seed")).distinct().select("seed", F.col("seed").alias("found"), F.lit(0).alias("steps")), "found")
     front = found
-    for step in range(1, most_steps + 1):
+    for step in count(1):
         fresh = front.join(ways, F.col("found") == F.col("at")).select("seed", F.col("next").alias("found")).distinct().join(found.select("seed", "found"), ["seed", "found"], "left_anti")
         front = materialize(fresh.withColumn("steps", F.lit(step)), "front")
         if front.isEmpty():
             break
+        if most_steps is not None and step > most_steps:
+            raise ValueError("nodes beyond the most steps")
         found = found.unionByName(front)
+        if step % 20 == 0:  # else the plan grows with every step
+            found = materialize(found, "found")
     return found.filter("steps > 0")
 
 

@@ -118,6 +118,15 @@ def test_traversal_walks_no_edge_twice(spark):
     assert rows(gr.reachable(seeds, edges, seed="node_id"), "found", "steps") == [("b", 1), ("c", 2), ("d", 2), ("zz", 1)]
 
 
+def test_reachable_loses_no_far_node(spark):
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(22)], "from_id string, to_id string").coalesce(1)
+    seeds = spark.createDataFrame([("n0",)], "node_id string")
+    assert sorted(r.steps for r in gr.reachable(seeds, edges, seed="node_id").collect()) == list(range(1, 23))
+    assert gr.reachable(seeds, edges.filter("from_id < 'n11'"), seed="node_id", most_steps=2).count() == 2
+    with pytest.raises(ValueError):
+        gr.reachable(seeds, edges, seed="node_id", most_steps=3)
+
+
 def test_sheets_near_takes_every_named_node(spark, tmp_path):
     n = [(f"n{i:03}", "Field", f"stock {i}") for i in range(60)] + [(f"s{i:03}", "Sheet", "") for i in range(60)]
     spark.createDataFrame(n, "node_id string, label string, name string").write.parquet(str(tmp_path / "graph_nodes.parquet"))
