@@ -8,18 +8,23 @@ pivot orders, and the best are reranked by cosine. Results of a vector's files a
 * Pivots: ``pivots_per_root * sqrt(n)`` vectors chosen by a hash of their id, at most ``MAX_PIVOTS``
   (64 MB at 1024 numbers), sent to every worker. Since they are drawn like the vectors, dense regions
   get more of them, which keeps the files even.
-* A file of up to ``whole_file`` vectors is reranked whole: there the footrule ranking would cost more
-  than it saves. Larger ones go through it and rerank ``rerank`` candidates. Work inside a file is done
-  in blocks of queries and candidates, so memory follows the file's size, not its square.
+* A file of more than about ``file_rows`` vectors, which any file is where the pivots have reached their
+  cap, is divided by the pivots that come next in the orders of its vectors: by one, or by a pair where
+  that is not enough. A vector is then posted in two or three of the parts. Which files are so large is
+  estimated from the orders of ``SHAPE_ROWS`` vectors at most, chosen by a hash of their id; a wrong
+  estimate makes a part larger or smaller, all rows are indexed whatever it says.
 * Files of pivots that are close to each other form a bundle, which is one group of the shuffle. A vector
-  travels once to each bundle it is posted in, however many of its files lie there.
+  travels once to each bundle it is posted in, however many of its files lie there. Within a bundle the
+  lists are walked in blocks of queries, so memory follows the bundle's size, not its square.
+* Every bundle, small or large, is ranked by footrule, and the closest are reranked by cosine: ``rerank`` times the
+  fourth root of n, as the files grow with the square root.
 * Vectors travel as one byte a number (the largest of a vector is 127). The cosines of the rerank are those of the coded vectors; on unit vectors they are off by some 0.0005.
 * Equal vectors are one entry, with its ``k + 1`` smallest ids: no more can be anybody's neighbour.
   Further copies get their answer by a join on the vector's hash, so a vector that a third of all rows
   share is never gathered in one task.
 
-Loss: the neighbours that share no file with a vector, and swaps of near ties. See README for the
-measured recall.
+Loss: the neighbours that share no bundle with a vector or are behind too many others by footrule, and
+swaps of near ties. See README for the measured recall.
 
 Defined results:
 
@@ -44,9 +49,14 @@ from folioscope.runtime import materialize
 
 #: Less than 2 ** 15, as a pivot's number takes two bytes.
 MAX_PIVOTS = 16_384
-DEPTH, POSTS, PIVOTS_PER_ROOT = 8, 4, 8
-WHOLE_FILE, RERANK = 2048, 512
-BLOCK = 512
+DEPTH, POSTS, PIVOTS_PER_ROOT = 16, 4, 8
+#: Candidates that are reranked in a bundle, times the fourth root of the number of vectors.
+RERANK = 7
+FILE_ROWS, SHAPE_ROWS = 8192, 100_000
+#: Bytes of postings that a task of the ranking gets on average.
+TASK_BYTES = 64 << 20
+#: Queries of a block, and pairs that a block looks at (8 bytes each).
+BLOCK, BLOCK_PAIRS = 128, 2_000_000
 
 
 def valid_matrix(embedding: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,56 +93,77 @@ def coded(x: np.ndarray) -> np.ndarray:
     return np.rint(x * (127 / np.abs(x).max(axis=1, keepdims=True))).astype(np.int8)
 
 
-def footrule_scores(perm: np.ndarray, depth: int):
-    """A function of a row: its footrule closeness to all rows, through inverted lists of the pivots.
-
-    For orders cut at ``depth`` the footrule distance is a constant less twice this sum over shared
-    pivots of depth minus the larger of the two ranks.
-    """
-    flat = perm.ravel()
-    order = np.argsort(flat, kind="stable")
-    rows, ranks = order // perm.shape[1], order % perm.shape[1]
-    pivots, begin = np.unique(flat[order], return_index=True)
-    spans = dict(zip(pivots.tolist(), zip(begin.tolist(), [*begin[1:].tolist(), len(flat)])))
-
-    def scores(row: int) -> np.ndarray:
-        out = np.zeros(len(perm), np.int32)
-        for rank, pivot in enumerate(perm[row].tolist()):
-            a, b = spans[pivot]
-            out[rows[a:b]] += depth - np.maximum(ranks[a:b], rank)
-        return out
-
-    return scores
-
-
-def nearest_in_file(codes: np.ndarray, perm: np.ndarray, keep: int, whole_file: int, rerank: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every vector of a file its ``keep`` most similar others: (numbers, cosines), -1 where there are fewer."""
+class Lists:
+    """The inverted lists of the pivots over the orders of a bundle's vectors."""
+
+    def __init__(self, perm: np.ndarray):
+        self.perm, self.n, self.depth = perm, len(perm), perm.shape[1]
+        order = np.argsort(perm, axis=None, kind="stable")
+        self.rows, self.ranks = order // self.depth, order % self.depth
+        flat = perm.ravel()[order]
+        _, begin, place = np.unique(flat, return_index=True, return_inverse=True)
+        length = np.diff(np.append(begin, len(flat)))
+        self.begin, self.length = np.empty(perm.shape, np.int64), np.empty(perm.shape, np.int64)
+        self.begin.ravel()[order], self.length.ravel()[order] = begin[place], length[place]
+        self.work = self.length.sum(axis=1)
+
+    def blocks(self) -> Iterator[np.ndarray]:
+        """Rows in portions of at most BLOCK that look at some BLOCK_PAIRS pairs; those of one nearest pivot together."""
+        order = np.lexsort((self.perm[:, 1] if self.depth > 1 else self.perm[:, 0], self.perm[:, 0]))
+        most = max(1, min(BLOCK, BLOCK_PAIRS // max(1, self.n)))
+        at = 0
+        while at < self.n:
+            some = order[at : at + most]
+            some = some[: max(1, int(np.searchsorted(np.cumsum(self.work[some]), BLOCK_PAIRS, "right")))]
+            yield some
+            at += len(some)
+
+    def closeness(self, some: np.ndarray) -> np.ndarray:
+        """Footrule closeness of the rows ``some`` to all rows.
+
+        For orders cut at ``depth`` the footrule distance is a constant less twice this sum over shared
+        pivots of depth minus the larger of the two ranks.
+        """
+        begin, length = self.begin[some].ravel(), self.length[some].ravel()
+        total = int(length.sum())
+        entry = np.arange(total) + np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length)
+        mine = np.repeat(np.tile(np.arange(self.depth), len(some)), length)
+        query = np.repeat(np.arange(len(some)) * self.n, length.reshape(len(some), self.depth).sum(axis=1))
+        weight = self.depth - np.maximum(self.ranks[entry], mine)
+        return np.bincount(query + self.rows[entry], weight, len(some) * self.n).reshape(len(some), self.n)
+
+
+def nearest_in_bundle(codes: np.ndarray, perm: np.ndarray, keep: int, rerank: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every vector of a bundle its ``keep`` most similar others among the ``rerank`` closest by footrule:
+    (numbers, cosines), -1 where there are fewer."""
     n = len(codes)
-    norms = np.sqrt(np.concatenate([np.square(codes[a : a + BLOCK].astype(np.float32)).sum(axis=1) for a in range(0, n, BLOCK)]))
     width = max(1, min(keep, n - 1))
     out, sims = np.full((n, width), -1, np.int64), np.full((n, width), -np.inf, np.float32)
     if n < 2:
         return out, sims
-    if n <= whole_file:
-        unit = codes.astype(np.float32) / norms[:, None]
-        for a in range(0, n, BLOCK):
-            s = unit[a : a + BLOCK] @ unit.T
-            s[np.arange(len(s)), np.arange(a, a + len(s))] = -np.inf
-            top = np.argpartition(-s, width - 1, axis=1)[:, :width]
-            out[a : a + BLOCK], sims[a : a + BLOCK] = top, np.take_along_axis(s, top, 1)
-        return out, sims
-    scores = footrule_scores(perm, perm.shape[1])
-    for row in range(n):
-        close = scores(row)
-        close[row] = -1
-        some = np.argpartition(-close, min(rerank, n - 1) - 1)[: min(rerank, n - 1)]
-        s = (codes[some].astype(np.float32) @ codes[row].astype(np.float32)) / (norms[some] * norms[row])
-        top = np.argpartition(-s, width - 1)[:width]
-        out[row], sims[row] = some[top], s[top]
+    lists, most = Lists(perm), min(rerank, n - 1)
+    width = min(width, most)
+
+    def unit(rows: np.ndarray) -> np.ndarray:
+        x = codes[rows].astype(np.float32)
+        return x / np.sqrt(np.square(x).sum(axis=1, keepdims=True))
+
+    for some in lists.blocks():
+        close = lists.closeness(some)
+        close[np.arange(len(some)), some] = -1
+        ranked = np.argpartition(-close, most - 1, axis=1)[:, :most]
+        # The queries of a block share most of their candidates: one product over all of them, of which only
+        # each query's own are looked at, is cheaper than a product for every query.
+        those, place = np.unique(ranked, return_inverse=True)
+        s = np.take_along_axis(unit(some) @ unit(those).T, place.reshape(ranked.shape), 1)
+        s[np.take_along_axis(close, ranked, 1) <= 0] = -np.inf  # no shared pivot
+        top = np.argpartition(-s, width - 1, axis=1)[:, :width]
+        near, numbers = np.take_along_axis(s, top, 1), np.take_along_axis(ranked, top, 1)
+        out[some, :width], sims[some, :width] = np.where(np.isfinite(near), numbers, -1), near
     return out, sims
 
 
-POSTED = "bundle int, files binary, id array<string>, vector bigint, vector2 bigint, perm binary, code binary"
+POSTED = "bundle bigint, id array<string>, vector bigint, vector2 bigint, perm binary, code binary"
 
 
 def bundled(pivots: np.ndarray, size: int) -> np.ndarray:
@@ -148,7 +179,58 @@ def bundled(pivots: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _poster(pivots: np.ndarray, bundles: np.ndarray, dims: int, depth: int, posts: int, keep: int):
+def posted_in(perm: np.ndarray, bundles: np.ndarray, levels: np.ndarray, posts: int) -> np.ndarray:
+    """The bundles of every vector by its order of pivots, -1 where there are fewer.
+
+    A file that ``levels`` doesn't divide lies in the bundle of its pivot. The parts of a divided file are
+    bundles of their own, named by the pivot and one or two of the next ones.
+    """
+    n, depth = perm.shape
+    files = perm[:, :posts].astype(np.int64)
+    columns = []
+    for f in range(files.shape[1]):
+        level = levels[files[:, f]]
+        columns.append(np.where(level == 0, bundles[files[:, f]], -1))
+        if not level.any():
+            continue
+        others = np.stack([perm[:, r] for r in range(depth) if r != f][:3], axis=1).astype(np.int64)
+        base = (files[:, f] + 1) << 32
+        for r in range(min(2, others.shape[1])):
+            columns.append(np.where(level == 1, base + ((others[:, r] + 1) << 16), -1))
+        for a, b in ((0, 1), (0, 2), (1, 2)):
+            if b < others.shape[1]:
+                low, high = np.minimum(others[:, a], others[:, b]), np.maximum(others[:, a], others[:, b])
+                columns.append(np.where(level == 2, base + ((low + 1) << 16) + high + 1, -1))
+    return np.stack(columns, axis=1).astype(np.int64) if columns else np.full((n, 0), -1, np.int64)
+
+
+def _orders(embedding: pa.Array, pivots: np.ndarray, dims: int, depth: int) -> np.ndarray:
+    _, x = valid_matrix(embedding, dims)
+    return permutations(x, pivots, depth) if len(x) else np.zeros((0, min(depth, len(pivots))), np.int16)
+
+
+def file_levels(rows: DataFrame, total: int, pivots: np.ndarray, dims: int, depth: int, posts: int, file_rows: int) -> np.ndarray:
+    """How often each file is to be divided: 0, by one further pivot (1) or by a pair (2)."""
+    levels = np.zeros(len(pivots), np.int8)
+    if total * min(posts, len(pivots)) <= file_rows or len(pivots) < 4:
+        return levels
+    share = min(1.0, SHAPE_ROWS / max(1, total))
+    sample = rows.filter(F.pmod(F.xxhash64("id", F.lit(12)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("embedding")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(pivots), np.int64)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):
+                n += np.bincount(_orders(batch.column(0).slice(a, 2000), pivots, dims, depth)[:, :posts].ravel(), minlength=len(n))
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n[used])], names=["pivot", "n"])
+
+    for r in sample.mapInArrow(count, "pivot int, n bigint").groupBy("pivot").agg(F.sum("n").alias("n")).collect():  # a row of each pivot
+        levels[r.pivot] = 0 if r.n / share <= file_rows else 1 if r.n / share <= 32 * file_rows else 2
+    return levels
+
+
+def _poster(pivots: np.ndarray, bundles: np.ndarray, levels: np.ndarray, dims: int, depth: int, posts: int, keep: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(a, 2000) for a in range(0, batch.num_rows, 2000)):
@@ -168,16 +250,14 @@ def _poster(pivots: np.ndarray, bundles: np.ndarray, dims: int, depth: int, post
                     pa.array(some, pa.list_(pa.string())), pa.array(h1[firsts]), pa.array(h2[firsts]),
                     pa.array([p.tobytes() for p in perm], pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()),
                 ]
-                files = perm[:, :posts]
-                where = bundles[files]
-                for p in range(files.shape[1]):
-                    new = np.flatnonzero((where[:, :p] != where[:, p : p + 1]).all(axis=1))  # bundles not sent to yet
-                    here = [files[r][where[r] == where[r, p]].tobytes() for r in new]
-                    rows_ = pa.array(new)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(where[new, p]), pa.array(here, pa.binary()), *[c.take(rows_) for c in columns]],
-                        names=["bundle", "files", "id", "vector", "vector2", "perm", "code"],
-                    )
+                where = posted_in(perm, bundles, levels, posts)
+                for p in range(where.shape[1]):
+                    new = np.flatnonzero((where[:, p] >= 0) & (where[:, :p] != where[:, p : p + 1]).all(axis=1))  # bundles not sent to yet
+                    if len(new):
+                        rows_ = pa.array(new)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(where[new, p]), *[c.take(rows_) for c in columns]], names=["bundle", "id", "vector", "vector2", "perm", "code"]
+                        )
 
     return run
 
@@ -202,38 +282,24 @@ def _answer(own: list[list[str]], numbers: np.ndarray, sims: np.ndarray, k: int)
             yield i, best
 
 
-def _ranker(k: int, dims: int, whole_file: int, rerank: int):
+def _ranker(k: int, dims: int, rerank: int):
     def run(group):
-        best: dict[str, dict[str, float]] = {}
-        lists = [np.frombuffer(f, np.int16) for f in group.column("files").to_pylist()]
-        files, owners = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(f) for f in lists])
-        order = np.argsort(files, kind="stable")
-        for members in np.split(order, np.flatnonzero(np.diff(files[order])) + 1):
-            part = group.take(pa.array(owners[members]))
-            entries: dict[tuple[int, int], int] = {}
-            own: list[list[str]] = []
-            keep_row = []
-            for r, (h, ids) in enumerate(zip(zip(part.column("vector").to_pylist(), part.column("vector2").to_pylist()), part.column("id").to_pylist())):
-                if h in entries:
-                    own[entries[h]] = sorted({*own[entries[h]], *ids})[: k + 1]
-                else:
-                    entries[h] = len(own)
-                    own.append(ids)
-                    keep_row.append(r)
-            part = part.take(pa.array(keep_row))
-            codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.int8).reshape(len(keep_row), dims)
-            perm = np.frombuffer(b"".join(part.column("perm").to_pylist()), np.int16).reshape(len(keep_row), -1)
-            numbers, sims = nearest_in_file(codes, perm, 2 * k, whole_file, rerank)
-            for i, near in _answer(own, numbers, sims, k):
-                mine = best.setdefault(i, {})
-                for other, cosine in near:
-                    mine[other] = max(cosine, mine.get(other, -2.0))
-        out_ids, out_near = [], []
-        for i, mine in best.items():  # one answer of the whole bundle
-            out_ids.append(i)
-            out_near.append([{"id": o, "cosine": c} for o, c in sorted(mine.items(), key=lambda x: (-x[1], x[0]))[:k]])
-        kind = pa.list_(pa.struct([("id", pa.string()), ("cosine", pa.float64())]))
-        return pa.table({"id": pa.array(out_ids, pa.string()), "near": pa.array(out_near, kind)})
+        entries: dict[tuple[int, int], list[str]] = {}
+        first: dict[tuple[int, int], int] = {}
+        for r, (h, ids) in enumerate(zip(zip(group.column("vector").to_pylist(), group.column("vector2").to_pylist()), group.column("id").to_pylist())):
+            first.setdefault(h, r)
+            entries[h] = sorted({*entries[h], *ids})[: k + 1] if h in entries else ids
+        hashes = sorted(entries)  # the same order whatever order the rows come in
+        part = group.take(pa.array([first[h] for h in hashes]))
+        codes = np.frombuffer(b"".join(part.column("code").to_pylist()), np.int8).reshape(len(hashes), dims)
+        perm = np.frombuffer(b"".join(part.column("perm").to_pylist()), np.int16).reshape(len(hashes), -1)
+        numbers, sims = nearest_in_bundle(codes, perm, 2 * k, rerank)
+        best: dict[str, list] = {}
+        for i, near in _answer([entries[h] for h in hashes], numbers, sims, k):
+            best[i] = [*best[i], *near] if i in best else near  # an id with several vectors
+        ids = list(best)
+        near = [[{"id": o, "cosine": c} for o, c in best[i]] for i in ids]
+        return pa.table({"id": pa.array(ids, pa.string()), "near": pa.array(near, pa.list_(pa.struct([("id", pa.string()), ("cosine", pa.float64())])))})
 
     return run
 
@@ -241,8 +307,9 @@ def _ranker(k: int, dims: int, whole_file: int, rerank: int):
 def sample_pivots(rows: DataFrame, total: int, dims: int, count: int) -> np.ndarray:
     """About ``count`` different valid vectors, chosen by a hash of their id."""
     share = min(1.0, 1.2 * count / max(1, total))
-    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).limit(2 * count)
-    table = chosen.select("id", "embedding").toArrow().sort_by("id")  # 2 * count rows at most
+    chosen = rows.filter(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    chosen = chosen.groupBy("id").agg(F.min("embedding").alias("embedding"))  # rows of one id are one pivot
+    table = chosen.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(2 * count).toArrow()  # 2 * count rows at most
     _, x = valid_matrix(table.column("embedding"), dims)
     if len(x):
         x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]
@@ -259,8 +326,8 @@ def k_most_similar(
     depth: int = DEPTH,
     posts: int = POSTS,
     pivots_per_root: float = PIVOTS_PER_ROOT,
-    whole_file: int = WHOLE_FILE,
-    rerank: int = RERANK,
+    rerank: float = RERANK,
+    file_rows: int = FILE_ROWS,
 ) -> DataFrame:
     """id, near (array of struct id, cosine; at most k, best first) of every valid vector."""
     rows = df.select(F.col(id).cast("string").alias("id"), F.col(embedding).cast("array<float>").alias("embedding")).filter(F.col("id").isNotNull())
@@ -274,8 +341,12 @@ def k_most_similar(
     hashed = rows.filter(F.size("embedding") == dims).withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")})
     per_file = max(1.0, total * posts / len(pivots))
     bundles = bundled(pivots, max(1, round(1000 / per_file)))
-    posted = hashed.select("id", "embedding", "h1", "h2").mapInArrow(_poster(pivots, bundles, dims, depth, posts, k + 1), POSTED)
-    ranked = posted.groupBy("bundle").applyInArrow(_ranker(k, dims, whole_file, rerank), NEAR)
+    levels = file_levels(rows, total, pivots, dims, depth, posts, file_rows)
+    posted = hashed.select("id", "embedding", "h1", "h2").mapInArrow(_poster(pivots, bundles, levels, dims, depth, posts, k + 1), POSTED)
+    parts = math.ceil(total * posts * (dims + 100) / TASK_BYTES)
+    if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        posted = posted.repartition(parts, "bundle")
+    ranked = posted.groupBy("bundle").applyInArrow(_ranker(k, dims, max(2 * k, math.ceil(rerank * total**0.25))), NEAR)
     best = F.array_sort(F.transform("all", lambda x: F.struct((-x["cosine"]).alias("far"), x["id"].alias("id"))))
     merged = (
         ranked.groupBy("id")

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from folioscope.llm.similar_vectors import footrule_scores, k_most_similar, neighbour_pairs, permutations
+from folioscope.llm.similar_vectors import Lists, k_most_similar, nearest_in_bundle, neighbour_pairs, permutations, posted_in
 
 DIMS = 32
 SCHEMA = "id string, embedding array<float>, near string, vector long"
@@ -34,11 +34,11 @@ def run(spark, rows, **kw):
     return {r.id: [n.id for n in r.near] for r in got}
 
 
-@pytest.mark.parametrize("more", [{}, {"whole_file": 16, "rerank": 64, "pivots_per_root": 1}])
+@pytest.mark.parametrize("more", [{}, {"rerank": 10, "pivots_per_root": 1}, {"pivots_per_root": 1, "file_rows": 200}, {"pivots_per_root": 1, "file_rows": 5}])
 def test_recall(spark, more):
     rows = clustered(1500, np.random.default_rng(5))
     got, true = run(spark, rows, k=5, **more), brute(rows, 5)
-    assert got.keys() == true.keys() and all(len(v) == 5 for v in got.values())
+    assert got.keys() == true.keys() and all(len(v) == 5 or more.get("file_rows") for v in got.values())  # tiny parts may hold fewer
     assert np.mean([len({*got[i]} & {*true[i]}) / 5 for i in true]) >= 0.9
 
 
@@ -67,5 +67,33 @@ def test_footrule():
     def distance(a, b):
         rank = lambda p, x: list(p).index(x) if x in p else 4
         return sum(abs(rank(a, x) - rank(b, x)) for x in {*a, *b})
-    scores = footrule_scores(perm, 4)
-    assert all(distance(perm[0], perm[i]) == 2 * (4 * 5 // 2) - 2 * scores(0)[i] for i in range(50))
+    lists = Lists(perm)
+    got = lists.closeness(np.arange(50))
+    assert all(distance(perm[a], perm[b]) == 2 * (4 * 5 // 2) - 2 * got[a, b] for a in range(50) for b in range(50))
+    assert sorted(np.concatenate(list(lists.blocks())).tolist()) == list(range(50))
+
+
+def test_only_the_closest_by_footrule_are_reranked():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((300, DIMS))
+    codes = np.rint(x * (127 / np.abs(x).max(axis=1, keepdims=True))).astype(np.int8)
+    perm = permutations(x, rng.standard_normal((20, DIMS)), 8)
+    close = Lists(perm).closeness(np.arange(300))
+    numbers, sims = nearest_in_bundle(codes, perm, 4, 10)
+    unit = codes / np.linalg.norm(codes, axis=1, keepdims=True)
+    for i in range(300):
+        others = np.delete(np.arange(300), i)
+        least = np.sort(close[i, others])[-10]
+        assert (close[i, numbers[i]] >= least).all() and np.allclose(sims[i], unit[numbers[i]] @ unit[i], atol=1e-5)
+
+
+def test_divided_files():
+    perm = np.array([[3, 1, 2, 0], [1, 3, 0, 2], [2, 0, 1, 3]], np.int16)
+    bundles = np.array([7, 8, 9, 9], np.int32)
+    whole = posted_in(perm, bundles, np.zeros(4, np.int8), 2)
+    assert whole.tolist() == [[9, 8], [8, 9], [9, 7]]
+    some = posted_in(perm, bundles, np.array([0, 1, 0, 2], np.int8), 2)
+    sent = [{c for c in row if c >= 0} for row in some.tolist()]
+    part = lambda f, a, b=-1: ((f + 1) << 32) + ((a + 1) << 16) + b + 1
+    assert sent[0] == {part(3, 1, 2), part(3, 0, 1), part(3, 0, 2), part(1, 3), part(1, 2)}
+    assert sent[1] == {part(1, 3), part(1, 0), part(3, 0, 1), part(3, 1, 2), part(3, 0, 2)} and sent[2] == {9, 7}
