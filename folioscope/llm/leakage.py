@@ -9,14 +9,18 @@ subsequence with a check of the answer's figures, decide.
 * Passages are ``2 * run`` characters long, one every ``run`` characters, so every run of ``run``
   characters lies whole in one passage, of the document and of the item alike. The check therefore
   needs the passage only, not the document.
-* The features are the n-grams that occur in the items. A passage without any has the zero vector and
-  the cosine 0 with every item; such passages are dropped in the scan, the rest is a small table.
-  Document frequencies are counted over all passages of all documents.
-* The retrieval loses a pair only if its latent cosine is below ``least_cosine``, which is low since a
-  check follows; the tests compare it with brute force.
-
-Sizes: ``dims`` times ``rank`` numbers go to the driver, whatever the corpus. The items are a fixed,
-small set that is sent to every worker; more than ``MAX_ITEM_CHARS`` characters are refused.
+* The terms are n-grams of 6 characters, of 3 where the text is written without blanks; terms that no item
+  has can't add to a cosine with one and are left out. The passages with at least one term (about half of
+  them) are written out once with their terms and are all indexed. Document frequencies are counted over all
+  passages of all documents.
+* The space is that of the passages of documents and items together; either side counts the same, however
+  much larger the corpus is.
+* Candidates are the pairs with a latent cosine of at least ``least_cosine``. It selects: see README for the
+  share of pairs that it keeps and for the lowest cosine of a true pair. The tests compare it with brute force.
+
+Sizes: ``dims`` times ``rank`` numbers go to the driver, whatever the corpus; the executors' sums meet in
+two steps. The items' passages are compared in blocks. Items of more than ``MAX_ITEM_CHARS`` characters are
+dealt out into groups of at most about that much, by a hash of their id, which are searched for one after another.
 
 Defined results:
 
@@ -34,16 +38,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.runtime import materialize
 
 RUN = 50
-GRAM = 12
-DIMS, RANK, SPARE, ROUNDS = 8192, 64, 8, 2
-LEAST_COSINE = 0.1
-MAX_ITEM_CHARS = 50_000_000
+#: Characters of a term, and of one that begins with a character of CJK.
+GRAM, CJK_GRAM = 6, 3
+CJK_FIRST = 0x2E80
+DIMS, RANK, SPARE, ROUNDS = 1 << 15, 128, 8, 2
+#: A run that is half of both passages gives a cosine of nearly a half, and the space leaves out what the items don't have.
+LEAST_COSINE = 0.4
+#: Least share of an item's passage that is a subsequence of a paraphrase.
+LEAST_LCS = 0.6
+MAX_ITEM_CHARS = 2_000_000
+#: Passages compared at once, of documents and of items.
+AT_ONCE, ITEM_BLOCK = 2000, 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _OTHER = re.compile(r"[\W_]+")
 
@@ -86,145 +98,181 @@ def passages(text: str, run: int) -> list[str]:
     return [text[at : at + 2 * run] for at in range(0, max(1, len(text) - run), run)]
 
 
+def terms(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the term that begins at each character, its length; 0 where the text ends before)."""
+    h, length = np.zeros(len(codes), np.uint64), np.zeros(len(codes), np.int64)
+    for n, here in ((GRAM, codes < CJK_FIRST), (CJK_GRAM, codes >= CJK_FIRST)):
+        grams = gram_hashes(codes, n)
+        at = np.flatnonzero(here[: len(grams)])
+        h[at], length[at] = grams[at], n
+    return h, length
+
+
 class Items:
     """The test items as the workers need them."""
 
-    def __init__(self, rows: list[tuple[int, str]], run: int = RUN, gram: int = GRAM, bits: int = 24):
-        self.run, self.gram, self.bits = run, gram, bits
+    def __init__(self, rows: list[tuple[int, str]], run: int = RUN, dims: int = DIMS, bits: int = 22):
+        self.run, self.dims, self.bits = run, dims, bits
         texts = [(i, letters_and_digits(t or "")) for i, t in rows]
         texts = [(i, t) for i, t in texts if len(t) >= run]
-        parts = [(i, p) for i, t in texts for p in passages(t, run)]
-        self.ids = np.array([i for i, _ in parts], np.int64)
-        self.parts = [p for _, p in parts]
-        grams = [gram_hashes(_codes(t), gram) for _, t in texts]
+        self.texts = [t for _, t in texts]
+        parts = [(n, i, p) for n, (i, t) in enumerate(texts) for p in passages(t, run)]
+        self.text = np.array([n for n, _, _ in parts], np.int64)
+        self.ids = np.array([i for _, i, _ in parts], np.int64)
+        self.parts = [p for _, _, p in parts]
+        grams = [h[n > 0] for h, n in (terms(_codes(t)) for t in self.texts)]
         self.vocabulary = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
-        self.runs: dict[int, set[int]] = {}
-        for i, t in texts:
-            for h in gram_hashes(_codes(t), run).tolist():
-                self.runs.setdefault(h, set()).add(i)
 
-    def bitmap(self) -> np.ndarray:
+    def finder(self):
+        """A function of a text's codes: where its known terms begin, their lengths and dimensions."""
+        vocabulary, shift = self.vocabulary, np.uint64(64 - self.bits)
         seen = np.zeros(1 << self.bits, bool)
-        seen[(self.vocabulary >> np.uint64(64 - self.bits)).astype(np.int64)] = True
-        return seen
+        seen[(vocabulary >> shift).astype(np.int64)] = True
+
+        def find(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            h, length = terms(codes)
+            at = np.flatnonzero(seen[(h >> shift).astype(np.int64)] & (length > 0))
+            place = np.minimum(np.searchsorted(vocabulary, h[at]), len(vocabulary) - 1)
+            known = vocabulary[place] == h[at]
+            at = at[known]
+            return at, length[at], (place[known] % self.dims).astype(np.uint16)
+
+        return find
+
+    def own_terms(self) -> list[bytes]:
+        """The dimensions of the terms of each passage of the items."""
+        find = self.finder()
+        return [find(_codes(p))[2].tobytes() for p in self.parts]
+
+    def shares_run(self, part: str, text: int) -> bool:
+        """Whether a passage and an item have ``run`` characters in common, compared as text."""
+        half, whole = max(1, self.run // 2), self.texts[text]
+        # every run holds one of these pieces
+        if not any(part[a : a + half] in whole for a in range(0, len(part) - half + 1, half)):
+            return False
+        return any(part[a : a + self.run] in whole for a in range(len(part) - self.run + 1))
+
+
+PASSAGES = "doc_id bigint, part string, terms binary, passages bigint"
 
 
 def _scan(items: Items):
-    """doc_id, part of every passage of a document that holds an n-gram of the items."""
+    """The passages with at least one term of the items, and a row without a part that counts all passages of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, vocabulary, step, gram = items.bitmap(), items.vocabulary, items.run, items.gram
-        shift = np.uint64(64 - items.bits)
+        find, step = items.finder(), items.run
         for batch in batches:
-            ids, parts = [], []
+            ids, parts, known, total = [], [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 plain = letters_and_digits(text) if text else ""
                 if len(plain) < step:
                     continue
-                h = gram_hashes(_codes(plain), gram)
-                at = np.flatnonzero(seen[(h >> shift).astype(np.int64)])
-                if len(at):
-                    at = at[vocabulary[np.minimum(np.searchsorted(vocabulary, h[at]), len(vocabulary) - 1)] == h[at]]
-                if len(at):
-                    last = max(0, (len(plain) - step - 1) // step)  # number of the last passage
-                    k = np.minimum(at // step, last)
-                    before = k[(k > 0) & (at - (k - 1) * step + gram <= 2 * step)] - 1
-                    for no in np.unique(np.concatenate([k, before])).tolist():
+                count = max(1, -(-(len(plain) - step) // step))
+                total += count
+                at, length, dim = find(_codes(plain))
+                if not len(at):
+                    continue
+                numbers = np.unique(np.concatenate([np.minimum(at // step, count - 1), np.maximum(np.minimum(at // step, count - 1) - 1, 0)]))
+                lows, highs = np.searchsorted(at, numbers * step), np.searchsorted(at, numbers * step + 2 * step)
+                for no, a, b in zip(numbers.tolist(), lows.tolist(), highs.tolist()):
+                    mine = dim[a:b][at[a:b] + length[a:b] <= (no + 2) * step]
+                    if len(mine):
                         ids.append(doc)
-                        parts.append(plain[no * step : no * step + 2 * step])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.string())], names=["doc_id", "part"])
+                        parts.append(plain[no * step : (no + 2) * step])
+                        known.append(mine.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*ids, None], pa.int64()), pa.array([*parts, None], pa.string()), pa.array([*known, None], pa.binary()), pa.array([*([None] * len(ids)), total], pa.int64())],
+                names=["doc_id", "part", "terms", "passages"],
+            )
 
     return run
 
 
-class Space:
-    """Hashed TF-IDF vectors of passages over the items' n-grams."""
-
-    def __init__(self, vocabulary: np.ndarray, gram: int, dims: int, idf: np.ndarray | None = None):
-        self.vocabulary, self.gram, self.dims, self.idf = vocabulary, gram, dims, idf
-
-    def features(self, part: str) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct dimensions of a passage and its signed counts there."""
-        h = gram_hashes(_codes(part), self.gram)
-        if not len(self.vocabulary):
-            return np.zeros(0, np.int64), np.zeros(0)
-        h = h[self.vocabulary[np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)] == h]
-        dim = (h % np.uint64(self.dims)).astype(np.int64)
-        sign = np.where((h >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
-        dims, place = np.unique(dim, return_inverse=True)
-        return dims, np.bincount(place, sign, len(dims))
-
-    def rows(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, dim, value) of unit TF-IDF vectors."""
-        row, dim, val = [], [], []
-        for r, part in enumerate(parts):
-            d, v = self.features(part)
-            v = v * self.idf[d]
-            norm = np.sqrt(v @ v)
-            if norm:
-                row.append(np.full(len(d), r))
-                dim.append(d)
-                val.append(v / norm)
-        if not row:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        return np.concatenate(row), np.concatenate(dim), np.concatenate(val)
-
-    def times(self, parts: list[str], right: np.ndarray) -> np.ndarray:
-        """The passages' matrix times ``right``, unit rows of ``parts``."""
-        row, dim, val = self.rows(parts)
-        out = np.zeros((len(parts), right.shape[1]))
-        if len(row):
-            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            out[row[starts]] = np.add.reduceat(val[:, None] * right[dim], starts)
+class Matrix:
+    """TF-IDF rows of some passages: terms that occur twice stand twice, which adds up."""
+
+    def __init__(self, known: list[bytes], idf: np.ndarray):
+        self.count = len(known)
+        self.dim = np.frombuffer(b"".join(known), np.uint16).astype(np.int64)
+        lengths = np.array([len(k) // 2 for k in known], np.int64)
+        self.row = np.repeat(np.arange(len(known)), lengths)
+        self.val = idf[self.dim].astype(np.float32)
+        self.filled = np.flatnonzero(lengths)
+        self.starts = (np.cumsum(lengths) - lengths)[self.filled]
+
+    def times(self, right: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.count, right.shape[1]), np.float32)
+        if len(self.dim):
+            out[self.filled] = np.add.reduceat(self.val[:, None] * right[self.dim], self.starts)
         return out
 
-    def gram_times(self, parts: list[str], right: np.ndarray, into: np.ndarray) -> None:
-        """Adds Aᵀ(A right) of the passages to ``into``."""
-        row, dim, val = self.rows(parts)
-        if len(row):
-            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            left = np.add.reduceat(val[:, None] * right[dim], starts)
-            np.add.at(into, dim, val[:, None] * left[np.searchsorted(row[starts], row)])
+    def add_gram(self, right: np.ndarray, into: np.ndarray) -> None:
+        """Adds Aᵀ(A right) to ``into``."""
+        if len(self.dim):
+            order = np.argsort(self.dim, kind="stable")
+            dim = self.dim[order]
+            first = np.flatnonzero(np.concatenate([[True], dim[1:] != dim[:-1]]))
+            into[dim[first]] += np.add.reduceat(self.val[order, None] * self.times(right)[self.row[order]], first)
+
+    def add_counts(self, into: np.ndarray) -> None:
+        """Adds, of every term, the number of passages that have it and the sum of its squared counts."""
+        width = len(into)
+        pairs, n = np.unique(self.row * width + self.dim, return_counts=True)
+        into += np.stack([np.bincount(pairs % width, minlength=width), np.bincount(pairs % width, n * n, width)], axis=1)
 
 
 BLOCK = 512
+#: Groups in which the partitions' sums first meet.
+FAN_IN = 64
 
 
-def _summed(parts: DataFrame, start, width: int, dims: int) -> np.ndarray:
-    """The sum over all partitions of the (dims, width) array that ``start()(texts, into)`` fills."""
+def _summed(parts: DataFrame, add, width: int, dims: int) -> np.ndarray:
+    """The sum over all partitions of the (dims, width) array that ``add(terms, into)`` fills."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        add, into = start(), np.zeros((dims, width))
+        into = np.zeros((dims, width), np.float64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for at in range(0, len(texts), 2000):
-                add(texts[at : at + 2000], into)
-        for b in range(0, dims, BLOCK):
-            if into[b : b + BLOCK].any():
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([into[b : b + BLOCK].astype(np.float32).tobytes()], pa.binary())], names=["block", "sums"])
+            known = batch.column(0).to_pylist()
+            for at in range(0, len(known), AT_ONCE):
+                add(known[at : at + AT_ONCE], into)
+        context = TaskContext.get()
+        place = context.partitionId() % FAN_IN if context else 0
+        used = [b for b in range(0, dims, BLOCK) if into[b : b + BLOCK].any()]
+        sums = [into[b : b + BLOCK].astype(np.float32).tobytes() for b in used]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([place] * len(used), pa.int32()), pa.array(sums, pa.binary())], names=["block", "place", "sums"])
 
     def reduce(group):
-        total = np.zeros(1)
+        total = 0.0
         for raw in group.column("sums").to_pylist():
             total = total + np.frombuffer(raw, np.float32).astype(np.float64)
-        return pa.table({"block": group.column("block")[:1], "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+        return pa.table({"block": group.column("block")[:1], "place": group.column("place")[:1], "sums": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    schema = "block int, sums binary"
-    got = parts.select("part").mapInArrow(partial, schema).groupBy("block").applyInArrow(reduce, schema)
+    schema = "block int, place int, sums binary"
+    got = parts.filter("terms IS NOT NULL").select("terms").mapInArrow(partial, schema)
+    got = got.groupBy("block", "place").applyInArrow(reduce, schema).groupBy("block").applyInArrow(reduce, schema)
     out = np.zeros((dims, width))
     for r in got.collect():  # dims * width numbers at most, a fixed size
         out[r.block : r.block + BLOCK] = np.frombuffer(r.sums, np.float32).reshape(-1, width)
     return out
 
 
-def latent_axes(parts: DataFrame, space: Space, *, rank: int, rounds: int, seed: int = 7) -> np.ndarray:
-    """The first ``rank`` right singular vectors of the passages' TF-IDF matrix, by randomised subspace iteration."""
-    dims, width = space.dims, min(rank + SPARE, space.dims)
-    q = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, width)))[0]
-    z = q
+def _gram_adder(q: np.ndarray, idf: np.ndarray):
+    right = q.astype(np.float32)
+    return lambda known, into: Matrix(known, idf).add_gram(right, into)
+
+
+def latent_axes(parts: DataFrame, own: Matrix, idf: np.ndarray, energy: float, *, rank: int, rounds: int, seed: int = 7) -> np.ndarray:
+    """The first ``rank`` right singular vectors of the TF-IDF matrix of the passages of documents (``parts``,
+    whose squares add up to ``energy``) and items (``own``), by randomised subspace iteration."""
+    dims, width = len(idf), min(rank + SPARE, len(idf))
+    z = np.random.default_rng(seed).standard_normal((dims, width))
     for _ in range(rounds):
-        q = np.linalg.qr(z)[0] if z is not q else q
-        z = _summed(parts, lambda q=q: lambda texts, into: space.gram_times(texts, q, into), width, dims)
+        q = np.linalg.qr(z)[0]
+        z = np.zeros((dims, width))
+        own.add_gram(q.astype(np.float32), z)
+        z /= max(float(np.square(own.val, dtype=np.float64).sum()), 1e-9)
+        if energy:
+            z += _summed(parts, _gram_adder(q, idf), width, dims) / energy
     values, axes = np.linalg.eigh((q.T @ z + z.T @ q) / 2)
     return q @ axes[:, ::-1][:, :rank]
 
@@ -244,45 +292,50 @@ def lcs_length(a: str, b: str) -> int:
 FOUND = "doc_id bigint, item_id bigint, cosine double, exact boolean, lcs double, answer double"
 
 
-def _search(items: Items, space: Space, axes: np.ndarray, least: float, paraphrase: float | None):
-    """Candidates by latent cosine, each checked against its item's passage."""
+def _unit(x: np.ndarray) -> np.ndarray:
+    norm = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(norm > 1e-6, norm, np.inf)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def unit(x):
-            norm = np.linalg.norm(x, axis=1, keepdims=True)
-            return x / np.where(norm > 1e-9, norm, np.inf)
 
-        ours = unit(space.times(items.parts, axes))
-        figures = [set(re.findall(r"\d+", p)) for p in items.parts]
+def near_pairs(a: np.ndarray, b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of a, row of b, cosine) of the pairs of unit rows with a cosine of at least ``least``, by row of a."""
+    found = []
+    for at in range(0, len(b), ITEM_BLOCK):
+        near = a @ b[at : at + ITEM_BLOCK].T
+        r, c = np.nonzero(near >= least)
+        found.append((r, c + at, near[r, c]))
+    r, c, s = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((c, r))
+    return r[order], c[order], s[order]
+
+
+def _search(items: Items, ours: np.ndarray, axes: np.ndarray, idf: np.ndarray, least: float, paraphrase: float | None):
+    """Candidates by latent cosine, each checked against the text of its item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        figures = [set(re.findall(r"\d+", p)) for p in items.parts] if paraphrase is not None else []
         for batch in batches:
-            docs, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            docs, parts, known = (batch.column(i).to_pylist() for i in range(3))
             out = {n: [] for n in ("doc_id", "item_id", "cosine", "exact", "lcs", "answer")}
-            for at in range(0, len(parts), 2000):
-                some = parts[at : at + 2000]
-                near = unit(space.times(some, axes)) @ ours.T
-                for r, part in enumerate(some):
-                    best: dict[int, tuple[float, int]] = {}
-                    for c in np.flatnonzero(near[r] >= least).tolist():
-                        i = int(items.ids[c])
-                        best[i] = max(best.get(i, (-1.0, 0)), (float(near[r, c]), c))
-                    if not best:
-                        continue
-                    shared = set()
-                    for h in gram_hashes(_codes(part), items.run).tolist():
-                        shared |= items.runs.get(h, set())
-                    digits = None
-                    for i, (cosine, c) in best.items():
-                        exact, lcs, answer = i in shared, None, None
-                        if not exact:
-                            if paraphrase is None or cosine < paraphrase:
-                                continue
-                            digits = set(re.findall(r"\d+", part)) if digits is None else digits
-                            lcs = lcs_length(part, items.parts[c]) / len(items.parts[c])
-                            answer = len(figures[c] & digits) / len(figures[c]) if figures[c] else 1.0
-                            if lcs < 0.6 or answer < 1.0:
-                                continue
-                        for n, v in zip(out, (docs[at + r], i, cosine, exact, lcs, answer)):
-                            out[n].append(v)
+            for at in range(0, len(parts), AT_ONCE):
+                rows, cols, cosines = near_pairs(_unit(Matrix(known[at : at + AT_ONCE], idf).times(axes)), ours, least)
+                best: dict[tuple[int, int], tuple[float, int]] = {}
+                for r, c, x in zip(rows.tolist(), cols.tolist(), cosines.tolist()):
+                    best[r, int(items.text[c])] = max(best.get((r, int(items.text[c])), (-1.0, 0)), (x, c))
+                for (r, text), (cosine, c) in best.items():
+                    part = parts[at + r]
+                    exact, lcs, answer = items.shares_run(part, text), None, None
+                    if not exact:
+                        if paraphrase is None or cosine < paraphrase:
+                            continue
+                        answer = len(figures[c] & set(re.findall(r"\d+", part))) / len(figures[c]) if figures[c] else 1.0
+                        if answer < 1.0:
+                            continue
+                        lcs = lcs_length(part, items.parts[c]) / len(items.parts[c])
+                        if lcs < LEAST_LCS:
+                            continue
+                    for n, v in zip(out, (docs[at + r], int(items.ids[c]), cosine, exact, lcs, answer)):
+                        out[n].append(v)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
@@ -302,32 +355,34 @@ def find_leaks(
     rank: int = RANK,
     least_cosine: float = LEAST_COSINE,
     paraphrase: float | None = None,
+    max_item_chars: int = MAX_ITEM_CHARS,
 ) -> DataFrame:
     """doc_id, item_id, cosine, exact, lcs, answer: one row per pair. With ``paraphrase`` also pairs
     without a shared run whose latent cosine is at least that, if most of the item's passage is a
     subsequence of the document's and all its figures occur there."""
-    spark = docs.sparkSession
-    wanted = items.select(F.col(item_key).cast("bigint"), F.col(item_text)).filter(F.col(item_text).isNotNull())
-    if (wanted.agg(F.sum(F.length(item_text))).first()[0] or 0) > MAX_ITEM_CHARS:
-        raise ValueError(f"more than {MAX_ITEM_CHARS} characters of test items")
-    known = Items([tuple(r) for r in wanted.collect()], run)
-    if not known.parts:
-        return spark.createDataFrame([], FOUND)
-    parts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).filter(F.length("text") >= run)
-    parts = materialize(parts.mapInArrow(_scan(known), "doc_id bigint, part string"), "passages")
-
-    space = Space(known.vocabulary, known.gram, dims)
-
-    def count(texts: list[str], into: np.ndarray) -> None:
-        for t in texts:
-            into[space.features(t)[0]] += 1
-
-    # Passages that hold no n-gram of the items add nothing to these counts.
-    often = _summed(parts, lambda: count, 1, dims)[:, 0]
-    total = max(1.0, often.max())
-    space = Space(known.vocabulary, known.gram, dims, np.log((1 + total) / (1 + often)) + 1)
-    axes = latent_axes(parts, space, rank=rank, rounds=ROUNDS)
-    found = parts.mapInArrow(_search(known, space, axes, least_cosine, paraphrase), FOUND)
+    wanted = items.select(F.col(item_key).cast("bigint").alias("item_id"), F.col(item_text).alias("text")).filter(F.col("text").isNotNull())
+    texts = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).filter(F.length("text") >= run)
+    size = wanted.agg(F.sum(F.length("text"))).first()[0] or 0
+    groups = -(-size // max_item_chars)
+    found = docs.sparkSession.createDataFrame([], FOUND)
+    for g in range(groups):
+        some = wanted if groups == 1 else wanted.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g)
+        known = Items([tuple(r) for r in some.collect()], run, dims)  # about max_item_chars characters
+        if known.parts:
+            found = found.unionByName(_leaks_of(texts, known, rank, least_cosine, paraphrase))
     return found.groupBy("doc_id", "item_id").agg(
         F.max("cosine").alias("cosine"), F.max("exact").alias("exact"), F.max("lcs").alias("lcs"), F.max("answer").alias("answer")
     )
+
+
+def _leaks_of(texts: DataFrame, items: Items, rank: int, least: float, paraphrase: float | None) -> DataFrame:
+    dims = items.dims
+    parts = materialize(texts.mapInArrow(_scan(items), PASSAGES), "passages")
+    total = parts.agg(F.sum("passages")).first()[0] or 0
+    ones = np.ones(dims)
+    often = _summed(parts, lambda known, into: Matrix(known, ones).add_counts(into), 2, dims)
+    idf = np.log((1 + total) / (1 + often[:, 0])) + 1
+    own = Matrix(items.own_terms(), idf)
+    axes = latent_axes(parts, own, idf, float((idf**2 * often[:, 1]).sum()), rank=rank, rounds=ROUNDS).astype(np.float32)
+    search = _search(items, _unit(own.times(axes)), axes, idf, least, paraphrase)
+    return parts.filter("part IS NOT NULL").select("doc_id", "part", "terms").mapInArrow(search, FOUND)

@@ -16,7 +16,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact leaks and paraphrases, with how each was told."""
-    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), paraphrase=0.6)
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), paraphrase=0.7)
     return leaks.select("doc_id", "item_id", F.round("cosine", 4).alias("cosine"), F.when(F.col("exact"), "run").otherwise("paraphrase").alias("kind"))
 
 

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from folioscope.llm.leakage import RUN, Space, find_leaks, gram_hashes, latent_axes, lcs_length, letters_and_digits
+from folioscope.llm.leakage import RUN, Matrix, find_leaks, gram_hashes, latent_axes, lcs_length, letters_and_digits, near_pairs
 
 WORDS = [f"{a}{b}{c}" for a in ("ka", "mo", "ri", "te", "su") for b in ("lan", "dor", "vek", "pim") for c in ("", "th", "or", "ex")]
 
@@ -64,11 +64,49 @@ def test_hashes_and_lcs():
 
 
 def test_axes_are_those_of_the_exact_decomposition(spark):
-    rng = random.Random(1)
-    parts = [letters_and_digits(sentence(rng, 12)) for _ in range(80)]
-    vocabulary = np.unique(np.concatenate([gram_hashes(np.frombuffer(p.encode("utf-32-le"), np.uint32).astype(np.uint64), 3) for p in parts]))
-    space = Space(vocabulary, 3, 512, np.ones(512))
-    axes = latent_axes(spark.createDataFrame([(p,) for p in parts], "part string"), space, rank=5, rounds=6)
-    full = space.times(parts, np.eye(512))
-    exact = np.linalg.svd(full)[2][:5]
-    assert np.linalg.norm(exact @ axes) ** 2 > 4.9
+    rng = np.random.default_rng(1)
+    topics = rng.integers(0, 512, (9, 14))
+    known = [rng.choice(topics[rng.integers(0, 9)], 10).astype(np.uint16).tobytes() for _ in range(80)]
+    idf = np.linspace(1, 2, 512)
+    docs, own = Matrix(known[:60], idf), Matrix(known[60:], idf)
+    energy = float(np.square(docs.val).sum())
+    axes = latent_axes(spark.createDataFrame([(k,) for k in known[:60]], "terms binary"), own, idf, energy, rank=5, rounds=8)
+    a, b = docs.times(np.eye(512)), own.times(np.eye(512))
+    gram = a.T @ a / energy + b.T @ b / np.square(own.val).sum()
+    exact = np.linalg.eigh(gram)[1][:, ::-1][:, :5]
+    assert np.linalg.norm(exact.T @ axes) ** 2 > 4.9
+
+
+def test_items_beyond_the_bound_are_searched_for_in_groups(spark):
+    docs, items = corpus()
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    longest = max(len(t or "") for _, t in items)
+    assert sum(len(t or "") for _, t in items) > 2 * 3 * longest
+    got = {(r.doc_id, r.item_id) for r in find_leaks(d, i, max_item_chars=3 * longest).filter("exact").collect()}
+    assert got == brute(docs, items)
+
+
+def test_near_pairs_in_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (rng.standard_normal((30, 6)), rng.standard_normal((50, 6))))
+    monkeypatch.setattr("folioscope.llm.leakage.ITEM_BLOCK", 7)
+    r, c, s = near_pairs(a, b, 0.4)
+    assert list(zip(r.tolist(), c.tolist())) == [tuple(x) for x in np.argwhere(a @ b.T >= 0.4).tolist()] and len(r)
+    assert np.allclose(s, (a @ b.T)[r, c])
+
+
+def test_planted_paraphrases(spark):
+    """Every sixth word another: no run of 50 is left, yet 9 of 10 are found, and the search is no product of all with all."""
+    rng = random.Random(8)
+    items = [(i, sentence(rng, 60)) for i in range(40)]
+    docs = [(d, sentence(rng, 200)) for d in range(200)]
+    for i, t in items:
+        words = t.split()
+        words[i % 5 :: 6] = [f"zq{w}" for w in rng.choices(WORDS, k=len(words[i % 5 :: 6]))]
+        docs.append((1000 + i, sentence(rng, 50) + " " + " ".join(words) + " " + sentence(rng, 50)))
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in find_leaks(d, i, paraphrase=0.6).collect()}
+    true = {(1000 + i, i) for i, _ in items}
+    assert not brute(docs, items) & true
+    assert len(got & true) >= 0.9 * len(true) and len(got - true) <= 0.1 * len(true)

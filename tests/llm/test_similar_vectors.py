@@ -34,7 +34,7 @@ def run(spark, rows, **kw):
     return {r.id: [n.id for n in r.near] for r in got}
 
 
-@pytest.mark.parametrize("more", [{}, {"rerank": 10, "pivots_per_root": 1}, {"pivots_per_root": 1, "file_rows": 200}, {"pivots_per_root": 1, "file_rows": 5}])
+@pytest.mark.parametrize("more", [{}, {"rerank": 10, "pivots_per_root": 1}, {"pivots_per_root": 1, "file_rows": 100}, {"pivots_per_root": 0.25, "file_rows": 15}])
 def test_recall(spark, more):
     rows = clustered(1500, np.random.default_rng(5))
     got, true = run(spark, rows, k=5, **more), brute(rows, 5)
