@@ -26,17 +26,21 @@ Defined results:
 * the label decides only between entries at the same distance; a null or unknown label decides nothing;
 * repeated rows are mapped each; further columns are ignored, whatever their names.
 
-The reference list is sent to every worker: it is fixed and small, more than ``MAX_ENTRIES`` entries
-are refused. Rows are mapped where they are read, without a shuffle; equal values of a batch are
-looked up once.
+The entries of the reference list are sent to every task, and a worker builds its index from them once.
+An index holds ``INDEX_ENTRIES`` entries at most; a longer list is looked up in one index after another,
+each built for a batch and dropped again, and the best answer of all counts, which is the same as that of
+one large index. Rows are mapped where they are read, without a shuffle; equal values of a batch are looked
+up once. Shortened words are written out entry by entry, so the readings of a name grow with the entries that
+have such words, not with the product of what each word may stand for.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -45,7 +49,7 @@ from pyspark.sql import functions as F
 from folioscope.llm.look_alikes import character_map
 
 #: About 600 index strings an entry: 300 MB of index in a worker at this number.
-MAX_ENTRIES = 3_000
+INDEX_ENTRIES = 3_000
 BOUND, SHORT = 2, 6
 LEFT_OUT = 0.3
 
@@ -53,7 +57,7 @@ _OTHER = re.compile(r"[\W_]+")
 _BRACKETS = re.compile(r"[(（\[【][^)）\]】]*[)）\]】]")
 _CJK = re.compile(r"[぀-ヿ一-鿿㐀-䶿]")
 
-# Other words for the labels of the reference list.
+# Other words for labels; an argument of the operator.
 LABEL_WORDS = {
     "システム": "system",
     "基幹システム": "system",
@@ -69,10 +73,16 @@ LABEL_WORDS = {
 }
 
 
+@functools.cache
+def _one_form() -> dict[int, str]:
+    return dict(zip(map(ord, character_map()[0]), character_map()[1]))
+
+
 def plain(text: str) -> str:
     """One form of look-alike characters, composed marks, small letters."""
-    table = dict(zip(map(ord, character_map()[0]), character_map()[1]))
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", text.translate(table))).lower()
+    if text.isascii():
+        return text.translate(_one_form()).lower()
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFC", text.translate(_one_form()))).lower()
 
 
 def compact(text: str) -> str:
@@ -119,16 +129,19 @@ def bound_of(spelling: str) -> int:
 
 
 class Dictionary:
-    """The reference list: rows of (id, label, name, alternative name)."""
+    """Entries of the reference list: rows of (id, label, name, alternative name)."""
 
-    def __init__(self, rows: list[tuple]):
+    def __init__(self, rows: list[tuple], label_words: Mapping[str, str] = LABEL_WORDS):
+        self.label_words = label_words
         self.labels = {i: compact(plain(label or "")) for i, label, *_ in rows}
         self.spellings: dict[str, set[int]] = {}
-        self.words: set[str] = set()
+        by_prefix: dict[str, dict[int, set[str]]] = {}
         for i, _, *names in rows:
             for name in filter(None, names):
                 parts = [w.rstrip(".") for w in words(plain(name))]
-                self.words.update(w for w in parts if not _CJK.search(w))
+                for w in parts:
+                    for n in range(3, 0 if _CJK.search(w) else len(w)):
+                        by_prefix.setdefault(w[:n], {}).setdefault(i, set()).add(w)
                 for k in range(len(parts)):
                     self.spellings.setdefault("".join(parts[k:] + parts[:k]), set()).add(i)
         self.spellings.pop("", None)
@@ -138,11 +151,17 @@ class Dictionary:
         for s in self.spellings:
             for d in deletions(s, bound_of(s)):
                 self.index.setdefault(d, []).append(s)
-        self.by_prefix: dict[str, list[str]] = {}
-        for w in sorted(self.words):
-            for n in range(3, len(w)):
-                self.by_prefix.setdefault(w[:n], []).append(w)
-        self.frequency: dict[int, int] = {}
+        # What a shortened word may stand for, by entry.
+        self.by_prefix = {p: {i: sorted(w) for i, w in found.items()} for p, found in by_prefix.items()}
+
+    def written_out(self, typed: list[str]) -> set[tuple[str, ...]]:
+        """The words as typed, and with the shortened ones written out as the words of one entry or another."""
+        bare = tuple(w.rstrip(".") for w in typed)
+        short = {k: self.by_prefix.get(w[:-1], {}) for k, w in enumerate(typed) if w.endswith(".")}
+        out = {bare}
+        for i in set().union(*short.values()):
+            out.update(itertools.product(*[short[k][i] if k in short and i in short[k] else (w,) for k, w in enumerate(bare)]))
+        return out
 
     def readings(self, name: str) -> dict[str, float]:
         """Readings of a typed name and what each costs."""
@@ -157,8 +176,7 @@ class Dictionary:
             typed = words(base)
             if not typed or len(typed) > self.most_letters:
                 continue  # more words than any entry has letters
-            options = [[w.rstrip(".")] + (self.by_prefix.get(w[:-1], []) if w.endswith(".") else []) for w in typed]
-            for parts in itertools.product(*options):
+            for parts in self.written_out(typed):
                 for lead in range(0, min(2, len(parts))):
                     for tail in range(0, min(3, len(parts) - lead)):
                         add("".join(parts[lead : len(parts) - tail]), cost + LEFT_OUT * (lead + tail))
@@ -170,10 +188,10 @@ class Dictionary:
                             add(whole[lead : len(whole) - tail], cost + LEFT_OUT * (lead + tail) / 2)
         return out
 
-    def candidates(self, name: str | None) -> list[tuple[float, int]]:
-        """(cost, id) of the entries at the least cost."""
+    def candidates(self, name: str | None) -> tuple[bool, float, list[int]]:
+        """(whether no reading is a spelling as it stands, least cost, the entries at that cost)."""
         if name is None or not name.strip():
-            return []
+            return True, float("inf"), []
         best: dict[int, float] = {}
         readings = self.readings(name)
         exact = [r for r in readings if r in self.spellings]
@@ -189,36 +207,48 @@ class Dictionary:
                         for i in self.spellings[s]:
                             best[i] = min(best.get(i, 9.0), cost + far)
         if not best:
-            return []
+            return True, float("inf"), []
         least = min(best.values())
-        return sorted((c, i) for i, c in best.items() if c <= least + 1e-9)
+        return not exact, round(least, 9), sorted(i for i, c in best.items() if c <= least + 1e-9)
 
     def label_fits(self, typed: str | None, label: str) -> bool:
         t = compact(plain(typed or ""))
-        t = LABEL_WORDS.get(t, t)
+        t = self.label_words.get(t, t)
         if not t or not label:
             return False
         if t == label or t.endswith(label) or (len(t) >= 3 and label.startswith(t)):
             return True
         return distance(t, label, 2.2) <= 2.2
 
-    def resolve(self, name: str | None, label: str | None) -> int:
-        found = self.candidates(name)
+    def resolve(self, name: str | None, label: str | None, frequency: Mapping[int, int]) -> tuple:
+        """The best entry as a tuple that orders the answers of several dictionaries; its last item is the id."""
+        fuzzy, cost, found = self.candidates(name)
         if not found:
-            return 0
-        return min((i for _, i in found), key=lambda i: (not self.label_fits(label, self.labels[i]), -self.frequency.get(i, 0), i))
+            return True, float("inf"), True, 0, 0
+        return min((fuzzy, cost, not self.label_fits(label, self.labels[i]), -frequency.get(i, 0), i) for i in found)
+
+
+@functools.lru_cache(maxsize=1)
+def _dictionary(entries: tuple[tuple, ...], label_words: tuple[tuple[str, str], ...]) -> Dictionary:
+    """Kept by a worker from task to task."""
+    return Dictionary(list(entries), dict(label_words))
+
 
+def _mapper(entries: list[tuple], frequency: dict[int, int], label_words: Mapping[str, str], index_entries: int):
+    parts = [tuple(entries[a : a + index_entries]) for a in range(0, max(1, len(entries)), index_entries)]
+    words_ = tuple(label_words.items())
 
-def _mapper(dictionary: Dictionary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[tuple, int] = {}
-            out = []
-            for pair in zip(batch.column("name").to_pylist(), batch.column("label").to_pylist()):
-                if pair not in known:
-                    known[pair] = dictionary.resolve(*pair)
-                out.append(known[pair])
-            yield pa.RecordBatch.from_arrays([batch.column("row_id"), pa.array(out, pa.int64())], names=["row_id", "ref_id"])
+            pairs = list(zip(batch.column("name").to_pylist(), batch.column("label").to_pylist()))
+            best: dict[tuple, tuple] = {}
+            for part in parts:
+                dictionary = _dictionary(part, words_)
+                for pair in dict.fromkeys(pairs):
+                    found = dictionary.resolve(*pair, frequency)
+                    if pair not in best or (found[-1] and (not best[pair][-1] or found < best[pair])):
+                        best[pair] = found
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), pa.array([best[p][-1] for p in pairs], pa.int64())], names=["row_id", "ref_id"])
 
     return run
 
@@ -233,19 +263,20 @@ def map_to_canonical(
     ref_id: str = "ref_id",
     ref_names: tuple[str, ...] = ("name", "alt_name"),
     ref_label: str = "label",
+    label_words: Mapping[str, str] = LABEL_WORDS,
+    index_entries: int = INDEX_ENTRIES,
 ) -> DataFrame:
     """(row_id, ref_id) of every row; ref_id 0 where no entry fits."""
-    if reference.count() > MAX_ENTRIES:
-        raise ValueError(f"more than {MAX_ENTRIES} entries in the reference list")
     entries = reference.select(F.col(ref_id).cast("bigint"), F.col(ref_label), *[F.col(n) for n in ref_names]).collect()
-    dictionary = Dictionary(sorted(tuple(r) for r in entries))
+    entries = sorted((tuple(r) for r in entries), key=lambda r: (r[0], *[x or "" for x in r[1:]]))
     # How often each reference name was typed exactly: one small aggregate, at most one row an entry name.
     names = {n for r in entries for n in r[2:] if n}
+    frequency: dict[int, int] = {}
     if names:
-        typed = rows.groupBy(F.col(name).alias("typed")).count()
         listed = rows.sparkSession.createDataFrame([(n,) for n in sorted(names)], "typed string")
-        counts = {r.typed: r["count"] for r in typed.join(F.broadcast(listed), "typed", "left_semi").collect()}
+        typed = rows.select(F.col(name).alias("typed")).join(F.broadcast(listed), "typed", "left_semi")  # the list is with every worker anyway
+        counts = {r.typed: r["count"] for r in typed.groupBy("typed").count().collect()}
         for r in entries:
-            dictionary.frequency[r[0]] = sum(counts.get(n, 0) for n in set(r[2:]) if n)
+            frequency[r[0]] = sum(counts.get(n, 0) for n in set(r[2:]) if n)
     given = rows.select(F.col(row_id).cast("bigint").alias("row_id"), F.col(name).cast("string").alias("name"), F.col(label).cast("string").alias("label"))
-    return given.mapInArrow(_mapper(dictionary), "row_id bigint, ref_id bigint")
+    return given.mapInArrow(_mapper(entries, frequency, label_words, index_entries), "row_id bigint, ref_id bigint")

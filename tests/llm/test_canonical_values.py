@@ -1,4 +1,7 @@
 import random
+import time
+
+import pytest
 
 from folioscope.llm.canonical_values import Dictionary, deletions, distance, map_to_canonical
 
@@ -28,6 +31,22 @@ def test_typed_names(spark):
     assert {TYPED[i]: r for i, r in got.items() if TYPED[i][2] != r} == {} and len(got) == len(TYPED)
 
 
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_a_long_list_is_looked_up_in_several_indexes(spark, n):
+    rows, refs = frames(spark)
+    got = {r.row_id: r.ref_id for r in map_to_canonical(rows, refs, index_entries=n).collect()}
+    assert {TYPED[i]: r for i, r in got.items() if TYPED[i][2] != r} == {} and len(got) == len(TYPED)
+
+
+def test_many_shortened_words_are_no_product():
+    refs = [(i, "System", " ".join(f"{w}{'abcdefghijklmnopqrst'[i]}x" for w in ("inv", "ord", "shi", "pri", "sto", "rel", "cus", "del", "tax", "lot")), None) for i in range(1, 20)]
+    d = Dictionary(refs)
+    began = time.perf_counter()
+    assert d.resolve("inv. ord. shi. pri. sto. rel. cus. del. tax. lot.", None, {5: 2})[-1] == 5  # all fit alike, the fifth was typed most
+    assert d.resolve("inv. ord. shi. pri. sto. rel. cus. del. tax. lotcx", None, {5: 2})[-1] == 2
+    assert time.perf_counter() - began < 5
+
+
 def test_empty(spark):
     rows, refs = frames(spark, [])
     assert {r.ref_id for r in map_to_canonical(rows, refs).collect()} == {0}
