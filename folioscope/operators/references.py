@@ -11,20 +11,23 @@ Defined results:
 * keys are compared as stored, every character counts;
 * a reference without a time is an orphan, since no parent can be shown to have been alive;
 * a parent row without a start is never alive; one without an end lives on;
-* repeated child rows count each; repeated parent rows change nothing;
+* repeated child rows count each; repeated parent rows change nothing, and the life spans of a key that
+  touch or overlap are one;
 * an empty parent table makes every reference an orphan; an empty child table gives no rows;
 * other columns of either table are ignored, whatever their names.
 
 Hot keys: one key may be named by a third of all references. Keys with more than 1/32 of the
 references (so at most 31 of them, a proven bound for the broadcast) are salted: their references
-are dealt to ``salts`` buckets and their parent rows are copied to each bucket.
+are dealt to ``salts`` buckets and their life spans are copied to each bucket. The spans of a key are first
+brought to disjoint ones in sorted order, so a key with many parent rows and many references isn't compared row
+by row: a parent row that begins within the span before it adds nothing to it but a later end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.operators import bloom as bf
@@ -42,6 +45,21 @@ def references(child: DataFrame, *, row_id: str, fields: Sequence[str], time: st
     )
 
 
+def disjoint(spans: DataFrame) -> DataFrame:
+    """(p_key, p_from, p_until) of each key as spans that neither touch nor overlap.
+
+    Repeated rows are dropped before the sort, those with the same start keep their latest end.
+    """
+    ends = F.when(F.count("p_until") == F.count("*"), F.max("p_until"))  # null, still alive, if one of them is
+    spans = spans.groupBy("p_key", "p_from").agg(ends.alias("p_until"), (F.count("p_until") < F.count("*")).alias("open"))
+    spans = spans.filter(F.col("open") | (F.col("p_until") > F.col("p_from")))
+    in_order = Window.partitionBy("p_key").orderBy("p_from")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    begun = spans.withColumn("begins", F.coalesce(~F.max("open").over(before) & (F.max("p_until").over(before) < F.col("p_from")), F.max("open").over(before).isNull()))
+    numbered = begun.withColumn("span", F.count_if("begins").over(in_order))
+    return numbered.groupBy("p_key", "span").agg(F.min("p_from").alias("p_from"), F.when(~F.max("open"), F.max("p_until")).alias("p_until")).drop("span")
+
+
 def find_orphans(
     child: DataFrame,
     parent: DataFrame,
@@ -65,6 +83,7 @@ def find_orphans(
     proven = probed.filter(~F.col("maybe")).drop("maybe")
     maybe = probed.filter("maybe").drop("maybe")
 
+    spans = disjoint(spans)
     least = max(1000, child.count() * len(fields) // HOT_SHARE)
     hot = F.broadcast(maybe.groupBy("ref").count().filter(F.col("count") > least).select(F.col("ref").alias("hot_key")))
     dealt = (

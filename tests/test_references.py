@@ -1,9 +1,11 @@
+import random
 from datetime import datetime as D
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
 from folioscope.operators import bloom as bf
-from folioscope.operators.references import find_orphans, orphans_by_period
+from folioscope.operators.references import disjoint, find_orphans, orphans_by_period
 
 EDGES = "pos long, from_id string, to_id string, created_at timestamp_ntz, extra string, ref string, salt int"
 NODES = "node_id string, created_at timestamp_ntz, deleted_at timestamp_ntz, ref string, pos long"
@@ -35,6 +37,20 @@ def test_cases(spark):
     assert set(got) == brute(edges, nodes)
 
 
+def test_overlapping_life_spans(spark):
+    rng = random.Random(3)
+    t = [D(2024, 1, 1) + timedelta(days=d) for d in range(40)]
+    nodes = []
+    for i in range(400):
+        a = rng.randrange(36)
+        nodes.append((f"n{rng.randrange(12)}", t[a], rng.choice([t[a], t[min(39, a + rng.randrange(1, 4))], t[max(0, a - 1)], None if i % 60 == 0 else t[a + 1]]), None, 1))
+    edges = [(i, f"n{rng.randrange(13)}", f"n{rng.randrange(13)}", rng.choice(t), None, None, 0) for i in range(600)]
+    assert set(run(spark, edges, nodes)) == brute(edges, nodes)
+    spans = spark.createDataFrame([n[:3] for n in nodes], "p_key string, p_from timestamp_ntz, p_until timestamp_ntz")
+    got = sorted((r.p_key, r.p_from, r.p_until or D(2099, 1, 1)) for r in disjoint(spans).collect())
+    assert all(a[0] != b[0] or a[2] < b[1] for a, b in zip(got, got[1:]))
+
+
 def test_empty(spark):
     t = D(2024, 1, 1)
     assert run(spark, [], [("a", t, None, None, 1)]) == []
