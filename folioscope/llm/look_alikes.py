@@ -118,6 +118,10 @@ def skeleton(text: Column) -> Column:
     return F.regexp_replace(F.translate(shown(text), *skeleton_map()), r"[\p{M}\p{Lm}\p{Sk}\u1100-\u11FF\uAC00-\uD7A3]+", "")
 
 
+#: A class with more than this part of the members is dealt out.
+HOT_SHARE = 32
+
+
 class LookAlikes:
     """Classes of texts of one table that look the same but differ as stored.
 
@@ -150,9 +154,17 @@ class LookAlikes:
             near=near,
         )
 
-    def pairs(self) -> DataFrame:
-        """(row_a, row_b): row_a < row_b, same look, different as stored."""
+    def pairs(self, salts: int = 16) -> DataFrame:
+        """(row_a, row_b): row_a < row_b, same look, different as stored.
+
+        Classes with more than 1/32 of the members (31 at most) are dealt to ``salts`` buckets on one side.
+        """
         m = materialize(self.members.select("row_id", "class_id", F.sha2("raw", 256).alias("form")), "members")
-        b = m.select(F.col("row_id").alias("row_b"), F.col("class_id").alias("class_b"), F.col("form").alias("form_b"))
-        near = (F.col("class_id") == F.col("class_b")) & (F.col("row_id") < F.col("row_b")) & (F.col("form") != F.col("form_b"))
-        return m.join(b, near).select(F.col("row_id").alias("row_a"), "row_b")
+        least = max(1000, m.count() // HOT_SHARE)
+        hot = F.broadcast(m.groupBy("class_id").count().filter(F.col("count") > least).select("class_id", F.lit(True).alias("hot")))
+        m = m.join(hot, "class_id", "left")
+        a = m.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("row_id"), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+        buckets = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        b = m.select(F.col("row_id").alias("row_b"), F.col("class_id").alias("class_b"), F.col("form").alias("form_b"), F.explode(buckets).alias("salt_b"))
+        near = (F.col("class_id") == F.col("class_b")) & (F.col("salt") == F.col("salt_b")) & (F.col("row_id") < F.col("row_b")) & (F.col("form") != F.col("form_b"))
+        return a.join(b, near).select(F.col("row_id").alias("row_a"), "row_b")

@@ -20,8 +20,9 @@ Defined results:
 
 Scale: the text is read once for the digests, which are written as a small table of (pos, root).
 Counting copies is an aggregate that combines on the map side, so a group that holds a third of all
-rows costs one row per task. Only rows whose root occurs more than once meet again: their groups
-are dealt to ``salts`` buckets, so that no hot group ends in one task.
+rows costs one row per task. Only rows whose root occurs more than once are read again, behind a Bloom filter of
+their ids. Groups with more than 1/32 of the rows (31 at most) are dealt to ``salts`` buckets, so that no hot
+group ends in one task.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from folioscope.operators import bloom as bf
 from folioscope.runtime import materialize
 
 LINE_ENDS = r"\r\n|[\n\x0B\f\r\x{85}\x{2028}\x{2029}]"
+HOT_SHARE = 32
 NOT_LETTER_OR_DIGIT = r"[^\p{L}\p{N}]+"
 
 
@@ -90,14 +92,16 @@ class LayoutIndex:
     """
 
     def __init__(self, chunks: DataFrame, *, row_id: str = "pos", text: str = "content", kind: str = "chunk_type", fields_kind: str = "field_def"):
-        self._tree = normalised(chunks, row_id=row_id, text=text, kind=kind, fields_kind=fields_kind)
-        self.roots = materialize(self._tree.select("row_id", root_digest().alias("root")), "roots")
+        tree = dict(row_id=row_id, text=text, kind=kind, fields_kind=fields_kind)
+        self.roots = materialize(normalised(chunks, **tree).select("row_id", root_digest().alias("root")), "roots")
         per_root = self.roots.groupBy("root").agg(F.count("*").alias("n"))
-        repeated = materialize(per_root.filter("n > 1").select("root"), "repeated")
-        # Only rows that may share a root are compared in full: those that pass the filter of repeated roots.
-        blocks = bf.blocks_for(repeated.count())
-        bloom = bf.build(repeated, F.col("root"), blocks)
-        maybe = bf.probe(self._tree.withColumn("root", root_digest()), F.col("root"), bloom, blocks, "maybe").filter("maybe")
+        wanted = materialize(self.roots.join(per_root.filter("n > 1").select("root"), "root", "left_semi").select("row_id"), "wanted")
+        # Only rows that may share a root are brought to their structure: those that pass the filter in the scan.
+        blocks = bf.blocks_for(wanted.count())
+        given = chunks.select(F.col(row_id).alias("row_id"), F.col(text).alias("text"), F.col(kind).alias("kind"))
+        passed = bf.probe(given, F.col("row_id"), bf.build(wanted, F.col("row_id"), blocks), blocks, "maybe").filter("maybe").drop("maybe")
+        self._tree = normalised(passed, row_id="row_id", text="text", kind="kind", fields_kind=fields_kind)
+        maybe = self._tree.withColumn("root", root_digest())
         grouped = maybe.groupBy("root", structure().alias("structure")).agg(F.min("row_id").alias("first_row"), F.count("*").alias("copies"))
         grouped = materialize(grouped, "grouped")
         self.classes = grouped.filter("copies > 1")
@@ -108,10 +112,12 @@ class LayoutIndex:
     def copies(self, salts: int = 16) -> DataFrame:
         """(first_row, row_id) of every record that repeats an earlier one."""
         clashes = self.clashes.select("root")
-        plain = self.classes.join(clashes, "root", "left_anti").select(
-            F.col("root").alias("c_root"), "first_row", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("c_salt")
-        )
-        rows = self.roots.withColumn("salt", F.pmod(F.xxhash64("row_id"), F.lit(salts)).cast("int"))
+        least = max(1000, self.roots.count() // HOT_SHARE)
+        hot = F.broadcast(self.classes.groupBy("root").agg(F.sum("copies").alias("n")).filter(F.col("n") > least).select("root", F.lit(True).alias("hot")))
+        buckets = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        plain = self.classes.join(clashes, "root", "left_anti").join(hot, "root", "left").select(F.col("root").alias("c_root"), "first_row", F.explode(buckets).alias("c_salt"))
+        salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row_id"), F.lit(salts))).otherwise(F.lit(0)).cast("int")
+        rows = self.roots.join(hot, "root", "left").withColumn("salt", salt).drop("hot")
         same = (F.col("root") == F.col("c_root")) & (F.col("salt") == F.col("c_salt")) & (F.col("row_id") > F.col("first_row"))
         copies = rows.join(plain, same).select("first_row", "row_id")
         if self.clashes.isEmpty():

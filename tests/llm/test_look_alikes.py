@@ -35,3 +35,10 @@ def test_canonical_is_plain(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert LookAlikes(df, row_id="pos", text="name").pairs().count() == 0
+
+
+def test_a_class_over_the_share_is_dealt_out(spark):
+    rows = [(i, "Order Hub") for i in range(1500)] + [(1500, "Ｏｒｄｅｒ Hub"), (1501, "other"), (1502, "оther")]
+    df = spark.createDataFrame([(p, t, "x", 0) for p, t in rows], SCHEMA)
+    got = [(r.row_a, r.row_b) for r in LookAlikes(df, row_id="pos", text="name").pairs().collect()]
+    assert sorted(got) == [*[(i, 1500) for i in range(1500)], (1501, 1502)]

@@ -63,3 +63,9 @@ def test_empty(spark, rows):
 def test_hot_group(spark):
     rows = [(i, "overview", "same   text" if i % 3 == 0 else f"t {i}") for i in range(3000)]
     assert LayoutIndex(frame(spark, rows)).copies().count() == 999
+
+
+def test_groups_over_the_share_are_dealt_out(spark):
+    rows = [(i, "overview", ["same   text", "Same text!", f"t {i}", f"u {i // 2 * 2}"][i % 4]) for i in range(5000)]
+    got = [(r.first_row, r.row_id) for r in LayoutIndex(frame(spark, rows)).copies().collect()]
+    assert len(got) == len(set(got)) and set(got) == brute(rows)
