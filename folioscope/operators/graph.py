@@ -124,14 +124,17 @@ def display_graph(nodes: DataFrame, edges: DataFrame, *, types: Sequence[str], l
 # -- search and traversal ---------------------------------------------------------------------------------------------------
 
 
-def name_search(nodes: DataFrame, terms: DataFrame, *, term: str, node: str = "node_id", name: str = "name", per_term: int | None = 10, most_terms: int = 1000) -> DataFrame:
+def name_search(nodes: DataFrame, terms: DataFrame, *, term: str, node: str = "node_id", name: str = "name", per_term: int | None = 10, few_terms: int = 1000) -> DataFrame:
     """Nodes whose name holds a term, in any case, at most ``per_term`` of each term, by node id (all if None).
 
-    ``terms`` is a query's terms: more than ``most_terms`` are refused (use ``contains_join``)."""
-    if terms.count() > most_terms:
-        raise ValueError("too many terms")
-    t = terms.select(F.col(term).alias("term_"), F.lower(term).alias("low_")).filter("low_ <> ''")
-    hits = nodes.join(F.broadcast(t), F.lower(name).contains(F.col("low_"))).select(F.col("term_").alias(term), node, name).distinct()
+    Up to ``few_terms`` terms are broadcast and compared with every name; more are found by ``contains_join``, with the same result."""
+    t = terms.select(F.col(term).alias("term_"), F.lower(term).alias("low_")).filter("low_ <> ''").distinct()
+    if t.count() <= few_terms:
+        hits = nodes.join(F.broadcast(t), F.lower(name).contains(F.col("low_"))).select(F.col("term_").alias(term), node, name).distinct()
+    else:
+        names = nodes.select(F.col(name).alias("name_")).filter("name_ is not null").distinct()
+        held = contains_join(names, t, text_key="name_", text="name_", name_key="term_", name="term_", blank=True)
+        hits = nodes.join(held, F.col(name) == F.col("name_")).select(F.col("term_").alias(term), node, name).distinct()
     return hits if per_term is None else top_n_per(hits, [term], [F.col(node), F.col(name)], per_term, node)
 
 
@@ -140,13 +143,13 @@ GRAM = 3
 MAX_NAMES, MAX_NAME_CHARS = 200_000, 10_000_000
 
 
-def contains_join(texts: DataFrame, names: DataFrame, *, text_key: str, text: str, name_key: str, name: str) -> DataFrame:
+def contains_join(texts: DataFrame, names: DataFrame, *, text_key: str, text: str, name_key: str, name: str, blank: bool = False) -> DataFrame:
     """(text_key, name_key) where the text holds the name, in any case, without comparing every text with every name.
 
     Up to ``MAX_NAMES`` names become one automaton that passes over each text once, where it is read. More names
-    are joined by grams. Null and blank names are in no text; rows with the same key give one pair.
+    are joined by grams. Null and blank names are in no text (only empty ones with ``blank``); rows with the same key give one pair.
     """
-    n = names.select(F.col(name_key).alias("n_key"), F.lower(name).alias("low_")).filter(F.col("low_").rlike(r"(?U)\S")).distinct()
+    n = names.select(F.col(name_key).alias("n_key"), F.lower(name).alias("low_")).filter(F.col("low_") != "" if blank else F.col("low_").rlike(r"(?U)\S")).distinct()
     t = texts.select(F.col(text_key).alias("t_key"), F.lower(text).alias("text_")).filter("text_ is not null and text_ <> ''")
     size = n.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.length("low_")), F.lit(0)).alias("chars")).first()
     try:
@@ -189,14 +192,17 @@ def _automaton_join(t: DataFrame, n: DataFrame, rows: int) -> DataFrame:
 
 
 def _gram_join(t: DataFrame, n: DataFrame) -> DataFrame:
-    """Every text gives its distinct grams (without the text), every name its first one; pairs with equal grams get
-    their text back and are verified by the containment itself."""
-    names = n.withColumn("gram", F.substring("low_", 1, GRAM))
+    """Every text gives its distinct grams (without the text), every name the one that fewest names have, so that a
+    common beginning doesn't pair all texts with all such names; pairs with equal grams get their text back and are
+    verified by the containment itself."""
 
-    def grams(size: int):
-        every = F.transform(F.sequence(F.lit(1), F.length("text_") - (size - 1)), lambda i: F.substring(F.col("text_"), i, F.lit(size)))
-        return F.when(F.length("text_") >= size, every).otherwise(F.array().cast("array<string>"))
+    def grams(size: int, of: str = "text_"):
+        every = F.transform(F.sequence(F.lit(1), F.length(of) - (size - 1)), lambda i: F.substring(F.col(of), i, F.lit(size)))
+        return F.when(F.length(of) >= size, every).otherwise(F.array().cast("array<string>"))
 
+    own = n.select("n_key", "low_", F.explode(F.when(F.length("low_") < GRAM, F.array("low_")).otherwise(F.array_distinct(grams(GRAM, "low_")))).alias("gram"))
+    shared = own.groupBy("gram").agg(F.count("*").alias("names_"))
+    names = own.join(shared, "gram").groupBy("n_key", "low_").agg(F.min_by("gram", F.struct("names_", "gram")).alias("gram"))
     keyed = t.select("t_key", F.xxhash64("text_").alias("text_id"), "text_")
     pairs = keyed.select("t_key", "text_id", F.explode(F.array_distinct(F.concat(*[grams(s) for s in range(1, GRAM + 1)]))).alias("gram")).join(names, "gram")
     return pairs.select("t_key", "text_id", "n_key", "low_").join(keyed, ["t_key", "text_id"]).filter(F.col("text_").contains(F.col("low_")))

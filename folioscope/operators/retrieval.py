@@ -78,25 +78,80 @@ def nearest_keys(df: DataFrame, query: Sequence[float], k: int, *, key: str, emb
     return found.orderBy("distance", key).limit(k).withColumn("score", vec.distance_score(F.col("distance")))
 
 
-def nearest_join(df: DataFrame, queries: DataFrame, k: int, *, key: str, query_key: str, embedding: str = "embedding") -> DataFrame:
-    """The k nearest of a small set of queries each (query_key, key, distance, rank).
+#: Numbers of a block of queries that is sent to every worker (8 bytes each), and rows compared with it at once.
+QUERY_NUMBERS, ROWS_AT_ONCE = 8_000_000, 2000
 
-    The queries are broadcast: they are a stated set, of at most ``MAX_QUERIES`` rows. Each task keeps the
-    best k of every query (a partial max over structs would not bound it, so ranks are taken twice: within
-    a salt, then over the salts).
+
+def nearest_join(df: DataFrame, queries: DataFrame, k: int, *, key: str, query_key: str, embedding: str = "embedding", query_numbers: int = QUERY_NUMBERS) -> DataFrame:
+    """The exact k nearest of every query of a stated set (query_key, key, distance, rank), ties by key.
+
+    The queries are dealt into blocks of a bounded size by a hash of their key, each of which goes over the table
+    once. A batch of rows is compared with a block by one matrix product, and only the k best of the batch leave
+    Python for each query, so k rows a query and batch are shuffled, whatever the table's size. Vectors of another
+    length than a query's, and those with other than finite numbers, are left out.
     """
-    q = queries.select(F.col(query_key).alias("q_key"), F.col(embedding).alias("q_vec"))
-    if queries.count() > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries; use an index")
-    pairs = df.join(F.broadcast(q), F.size(embedding) == F.size("q_vec")).select("q_key", key, vec.squared_l2(F.col(embedding), F.col("q_vec")).alias("distance"))
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(64)))
-    within = Window.partitionBy("q_key", "salt").orderBy("distance", key)
+    q = queries.select(F.col(query_key).alias("q_key"), F.col(embedding).cast("array<double>").alias("q_vec")).filter("q_vec is not null")
+    numbers = q.agg(F.sum(F.size("q_vec"))).first()[0] or 0
+    blocks = max(1, -(-numbers // query_numbers))
+    kinds = (queries.schema[query_key].dataType, df.schema[key].dataType)
+    schema = f"q_key {kinds[0].simpleString()}, `{key}` {kinds[1].simpleString()}, distance double"
+    rows = df.select(key, F.col(embedding).cast("array<double>").alias("embedding")).filter("embedding is not null")
+    best = None
+    for b in range(blocks):
+        some = q if blocks == 1 else q.filter(F.pmod(F.xxhash64("q_key"), F.lit(blocks)) == b)
+        part = rows.mapInArrow(_nearest_of(some.toArrow(), k, kinds, key), schema)  # about query_numbers numbers
+        best = part if best is None else best.unionByName(part)
     over = Window.partitionBy("q_key").orderBy("distance", key)
-    best = salted.withColumn("r", F.row_number().over(within)).filter(F.col("r") <= k)
     return best.withColumn("rank", F.row_number().over(over)).filter(F.col("rank") <= k).select(F.col("q_key").alias(query_key), key, "distance", "rank")
 
 
-MAX_QUERIES = 10_000
+def _nearest_of(queries, k: int, kinds: tuple, key: str):
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    def matrices(column):
+        """Of every length: (places, matrix) of the vectors with finite numbers only."""
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        offsets = column.offsets.to_numpy()
+        values = column.values.to_numpy(zero_copy_only=False)
+        sizes = np.where(np.asarray(column.is_valid()), np.diff(offsets), 0)
+        for n in np.unique(sizes[sizes > 0]).tolist():
+            places = np.flatnonzero(sizes == n)
+            x = values[offsets[places][:, None] + np.arange(n)]
+            good = np.isfinite(x).all(axis=1)
+            if good.any():
+                yield n, places[good], x[good]
+
+    known = {n: (places, x, np.square(x).sum(axis=1)) for n, places, x in matrices(queries.column("q_vec"))} if len(queries) else {}
+    q_keys, types = queries.column("q_key"), [to_arrow_type(t) for t in kinds]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                ranks = pc.rank(part.column(0), tiebreaker="first").to_numpy()
+                for n, places, x in matrices(part.column(1)):
+                    if n not in known:
+                        continue
+                    q_places, y, y2 = known[n]
+                    near = np.square(x).sum(axis=1)[None, :] + y2[:, None] - 2 * (y @ x.T)
+                    kth = min(k, len(places)) - 1
+                    bound = np.partition(near, kth, axis=1)[:, kth]
+                    # of the rows about as near as the k-th the distances are taken from the differences, then k stay
+                    r, c = np.nonzero(near <= (bound + 1e-9 * (1 + y2 + np.abs(bound)))[:, None])
+                    far = np.square(y[r] - x[c]).sum(axis=1)
+                    order = np.lexsort((ranks[places[c]], far, r))
+                    r, c, far = r[order], c[order], far[order]
+                    stay = np.arange(len(r)) - np.searchsorted(r, r) < k
+                    r, c, far = r[stay], c[stay], far[stay]
+                    yield pa.RecordBatch.from_arrays(
+                        [q_keys.take(pa.array(q_places[r])).combine_chunks().cast(types[0]), part.column(0).take(pa.array(places[c])).cast(types[1]), pa.array(far)],
+                        names=["q_key", key, "distance"],
+                    )
+
+    return run
 
 
 def keyword_score(text: Column, words: Sequence[str]) -> Column:

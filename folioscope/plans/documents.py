@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import rules
 from folioscope.operators import chunking as ch
 from folioscope.operators import stats
+from folioscope.operators.graph import top_n_per
 from folioscope.runtime import table
 
 
@@ -72,7 +73,7 @@ def stats_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "dualrag_experiment_eval_chunks")
     p = table(spark, sf_dir, "projects").select(F.col("project_id").alias("p"))
     foreign = ~F.col("id").startswith(F.concat(F.col("experiment_project_id"), F.lit("::")))
-    return e.join(F.broadcast(p), F.col("source_project_id") == F.col("p"), "left").groupBy("experiment_project_id").agg(F.count_if(foreign).alias("foreign_ids"), F.count_if(F.col("p").isNull()).alias("no_project"))
+    return e.join(p, F.col("source_project_id") == F.col("p"), "left").groupBy("experiment_project_id").agg(F.count_if(foreign).alias("foreign_ids"), F.count_if(F.col("p").isNull()).alias("no_project"))
 
 
 def stats_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +94,8 @@ def stats_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def session_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last 20 events of each user."""
     w = Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id"))
-    return table(spark, sf_dir, "events").withColumn("n", F.row_number().over(w)).filter("n <= 20").select("user_id", "event_id", "n")
+    last = top_n_per(table(spark, sf_dir, "events").select("user_id", "event_id", "ts"), ["user_id"], [F.desc("ts"), F.desc("event_id")], 20, "event_id")
+    return last.withColumn("n", F.row_number().over(w)).select("user_id", "event_id", "n")
 
 
 def session_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:

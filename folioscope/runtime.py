@@ -40,10 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session names none (a local run) this process chooses a temporary folder.
+    Only where the session names none and all its tasks run in this process (master ``local``) a temporary
+    folder is chosen. On a cluster the executors would each write to a disk of their own, so that is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named.rstrip("/") if named else _own_dir()
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _own_dir()
 
 
 @functools.cache

@@ -35,6 +35,47 @@ def test_nearest(spark):
     assert rows(rt.nearest_join(df, q, 1, key="id", query_key="q"), "q", "id", "rank") == [(1, 1, 1), (2, 2, 1)]
 
 
+def test_nearest_of_many_queries(spark):
+    """In blocks of a few queries, with ties, copies and unfit vectors, equal to brute force."""
+    import random
+
+    rng = random.Random(5)
+    data = [(i, [float(rng.randint(-1, 1)) for _ in range(4)]) for i in range(300)] + [(900, None), (901, [1.0]), (902, [float("nan")] * 4), (903, [1.0, None, 0.0, 0.0])]
+    queries = [(f"q{i}", [float(rng.randint(-1, 1)) for _ in range(4)]) for i in range(25)] + [("n", None), ("s", [0.0] * 3)]
+    df = spark.createDataFrame(data, "id int, embedding array<float>").repartition(3)
+    q = spark.createDataFrame(queries, "q string, embedding array<float>")
+    got = rows(rt.nearest_join(df, q, 4, key="id", query_key="q", query_numbers=30), "q", "rank", "id", "distance")
+    true = []
+    for name, v in queries[:25]:
+        best = sorted((sum((a - b) ** 2 for a, b in zip(x, v)), i) for i, x in data[:300])[:4]
+        true += [(name, n + 1, i, d) for n, (d, i) in enumerate(best)]
+    assert got == sorted(true)
+    assert rt.nearest_join(df.limit(0), q, 4, key="id", query_key="q").count() == rt.nearest_join(df, q.limit(0), 4, key="id", query_key="q").count() == 0
+
+
+def test_many_terms_are_no_product(spark):
+    nodes = spark.createDataFrame([(f"n{i}", f"Stock Feed {i % 7} x") for i in range(60)] + [("z", None)], "node_id string, name string")
+    terms = spark.createDataFrame([(t,) for t in ("stock", "Feed 3", "feed 3", " ", "zzz", "", "7")], "term string")
+    few, many = (rows(gr.name_search(nodes, terms, term="term", per_term=None, few_terms=n), "term", "node_id", "name") for n in (1000, 2))
+    assert few == many and len(few) == 60 * 2 + 2 * 9 - 2 * (60 % 7 <= 3)
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster():
+    import types
+
+    import pytest
+
+    from folioscope.runtime import shared_dir
+
+    def session(master, folder=None):
+        conf = types.SimpleNamespace(get=lambda k, d=None: folder)
+        return types.SimpleNamespace(conf=conf, sparkContext=types.SimpleNamespace(master=master, getConf=lambda: conf))
+
+    assert shared_dir(session("local[4]")).startswith("file://") and shared_dir(session("spark://x:1", "s3a://b/c/")) == "s3a://b/c"
+    with pytest.raises(ValueError):
+        shared_dir(session("spark://x:1"))
+
+
 def test_nearest_keys_agrees(spark):
     import random
 
