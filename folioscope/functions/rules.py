@@ -220,9 +220,29 @@ def expanded(query: Column, intent: Column, words: dict[str, str]) -> Column:
     return F.concat_ws(" ", query, first_match([(intent == k, F.lit(v)) for k, v in words.items()], F.lit("")))
 
 
+# Words of a question that ask for a kind of chunk.
+CHUNK_TYPE_WORDS = {
+    "api_spec": ("api", "endpoint", "http", "get ", "post ", "put ", "delete "),
+    "mapping_table": ("mapping", "マッピング", "変換", "transform"),
+    "business_rule": ("condition", "条件", "rule", "ルール", "business rule"),
+    "flowchart": ("flow", "フロー", "sequence", "シーケンス"),
+    "overview": ("overview", "概要", "summary", "サマリ"),
+}
+
+
+def chunk_type_hints(query: Column) -> Column:
+    """All kinds of chunks that a question asks for, in the order of the list."""
+    low = F.lower(query)
+    return F.array_compact(F.array(*[F.when(reduce(lambda a, b: a | b, [low.contains(w) for w in words]), F.lit(kind)) for kind, words in CHUNK_TYPE_WORDS.items()]))
+
+
+# Sheets from which on hints are too broad, in number and as a share of all.
+MOST_HINT_SHEETS, MOST_HINT_SHARE = 10, 0.5
+
+
 def hint_quality(sheets: Column, total: Column) -> Column:
-    """none without sheets, weak for more than 10 or more than half of them, else strong."""
-    return F.when(F.size(sheets) <= 0, "none").when((F.size(sheets) > 10) | (F.size(sheets) > total * 0.5), "weak").otherwise("strong")
+    """none without sheets, weak for too many of them, else strong. ``sheets``, ``total``: numbers of sheets."""
+    return F.when(F.coalesce(sheets, F.lit(0)) <= 0, "none").when((sheets > MOST_HINT_SHEETS) | (sheets > total * MOST_HINT_SHARE), "weak").otherwise("strong")
 
 
 # How sure an edge's status makes it.

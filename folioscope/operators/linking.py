@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.operators.graph import connected, contains_join
+from folioscope.functions import rules
+from folioscope.operators.graph import connected, contains_join, name_search
 from folioscope.sources import mermaid
 
 
@@ -107,6 +108,72 @@ def layered_context(nodes: DataFrame, edges: DataFrame, *, layers: dict[str, Seq
     return kept_nodes, kept_edges
 
 
+# Of each layer the labels whose names are searched first, those of their neighbours, and all its labels.
+LAYER_LABELS = {
+    "business": (("System",), ("System", "BusinessProcess", "DataEntity"), BUSINESS),
+    "implementation": (("APIOperation", "FlowNode", "MappingRule"), ("Field", "FieldMapping", "MappingRule", "FlowNode", "APIOperation"), IMPLEMENTATION),
+}
+
+
+def _touching(edges: DataFrame, hits: DataFrame, near: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Edges with one end among the ``hits`` (node_id, and the columns ``keep``) and the other among the nodes ``near``."""
+    out = None
+    for own, other in (("from_id", "to_id"), ("to_id", "from_id")):
+        e = edges.select("pos", F.col(own).alias("own_"), F.col(other).alias("other_"))
+        part = e.join(hits, F.col("own_") == F.col("node_id")).join(near.select(F.col("node_id").alias("n_")), F.col("other_") == F.col("n_"), "left_semi").select(*keep, "pos")
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
+def _labelled(nodes: DataFrame, labels: Sequence[str]) -> DataFrame:
+    return nodes.filter(F.col("label").isin(*labels)).select("node_id").distinct()
+
+
+def layers_by_terms(nodes: DataFrame, edges: DataFrame, terms: DataFrame, *, term: str) -> DataFrame:
+    """(layer, term, way, pos): edges around the nodes that a term names.
+
+    First by the names of a layer's main labels to neighbours of the labels that go with them (``names``); only for terms
+    without any such edge by the names of all its labels to any neighbour (``keywords``). Nothing is cut: a caller shows as
+    many as it likes.
+    """
+    held = name_search(nodes.select("node_id", "name"), terms, term=term, per_term=None).select(term, "node_id").distinct()
+    out = None
+    for layer, (main, near, labels) in LAYER_LABELS.items():
+        first = _touching(edges, held.join(_labelled(nodes, main), "node_id", "left_semi"), _labelled(nodes, near), [term])
+        rest = held.join(first.select(term).distinct(), term, "left_anti").join(_labelled(nodes, labels), "node_id", "left_semi")
+        more = _touching(edges, rest, nodes.select("node_id").distinct(), [term])
+        both = first.withColumn("way", F.lit("names")).unionByName(more.withColumn("way", F.lit("keywords"))).withColumn("layer", F.lit(layer))
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+PAGE = ("project_id", "workbook_name", "sheet_name")
+
+
+def layers_by_sheets(nodes: DataFrame, edges: DataFrame, terms: DataFrame, *, term: str) -> DataFrame:
+    """(layer, pos): edges between the sheet nodes of the sheets that hold a node named by a term and nodes of the layer's labels."""
+    held = name_search(nodes.select("node_id", "name"), terms, term=term, per_term=None).select(F.col("node_id").alias("h_"), F.col("name").alias("n_")).distinct()
+    pages = nodes.join(held, (F.col("node_id") == F.col("h_")) & (F.col("name") == F.col("n_")), "left_semi").select(*PAGE).distinct()
+    sheets = nodes.filter("label = 'Sheet'").join(pages, list(PAGE), "left_semi").select("node_id").distinct()
+    out = None
+    for layer, (_, _, labels) in LAYER_LABELS.items():
+        part = _touching(edges, sheets, _labelled(nodes, labels), []).withColumn("layer", F.lit(layer))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def guidance_hints(nodes: DataFrame, edges: DataFrame, names: DataFrame, *, key: str, name: str) -> DataFrame:
+    """(key, sheets, quality): how many sheets hold a node that a name names or one next to it, and how good a hint they are."""
+    found = contains_join(nodes.select("name").filter("name is not null").distinct(), names, text_key="name", text="name", name_key=key, name=name)
+    hits = nodes.select("node_id", "name").join(found, "name").select(key, "node_id").distinct()
+    near = [edges.select(F.col(a).alias("node_id"), F.col(b).alias("b_")).join(hits, "node_id").select(key, F.col("b_").alias("node_id")) for a, b in (("from_id", "to_id"), ("to_id", "from_id"))]
+    placed = nodes.filter("coalesce(workbook_name, '') <> '' and coalesce(sheet_name, '') <> ''").select("node_id", F.struct(*PAGE).alias("page")).distinct()
+    counts = hits.unionByName(near[0]).unionByName(near[1]).distinct().join(placed, "node_id").select(key, "page").distinct().groupBy(key).agg(F.count("*").alias("n_"))
+    every = placed.agg(F.count_distinct("page").alias("every_"))  # one row
+    rows = names.select(key).distinct().join(counts, key, "left").crossJoin(F.broadcast(every))
+    return rows.select(key, F.coalesce("n_", F.lit(0)).cast("bigint").alias("sheets"), rules.hint_quality(F.col("n_"), F.col("every_")).alias("quality"))
+
+
 def snapshot(tables: dict[str, DataFrame], by: str = "project_id") -> DataFrame:
     """(table, key, rows, columns): counts per project and the schema of every table, to compare with later."""
     out = None
