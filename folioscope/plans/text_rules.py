@@ -169,6 +169,11 @@ SQL = {
           {", ".join("(" + " OR ".join(f"contains(content, '{w}')" for w in words) + f") AS {k}" for k, words in rules.FLAG_WORDS.items())} FROM c""",
     "text_intents": f"""WITH n AS (SELECT pos, name, {_HITS} FROM graph_nodes WHERE name IS NOT NULL), i AS (SELECT pos, name, {_INTENT} AS intent, {_SURE} AS confidence FROM n)
         SELECT pos, intent, confidence, name || ' ' || CASE intent {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.TECHNICAL_WORDS.items())} END AS technical FROM i""",
+    "text_table_fields": r"""WITH c AS (SELECT pos, content, list_filter(list_transform(regexp_extract_all(content, '\|\s*(\d+)\s*\|\s*([^\|]{3,50}?)\s*\|', 2),
+          lambda x: regexp_replace(x, '^[\s　\x{a0}]+|[\s　\x{a0}]+$', '', 'g')), lambda x: length(x) > 1 AND NOT starts_with(x, '-')) AS names,
+          regexp_extract_all(content, '(?m)^### [^\r\n]+?\(`([A-Z]{2}\d{7})`\)', 1) AS codes FROM chunks WHERE content IS NOT NULL),
+        f AS (SELECT pos, CASE WHEN len(names) > 0 THEN names ELSE codes END AS f FROM c)
+        SELECT pos, list_filter(f, lambda x, i: list_position(f, x) = i)[:20] AS fields FROM f""",
     "text_missing_values": r"""SELECT coalesce(name IS NULL OR regexp_replace(name, '^\s+|\s+$', '', 'g') IN ('nan', 'None', 'null', 'NaN') OR name = '', true) AS missing,
         count(*) AS nodes FROM graph_nodes GROUP BY 1""",
     "text_sections": r"""SELECT pos, regexp_extract(content, '\A## [^\r\n]+') AS leading,
