@@ -10,7 +10,7 @@ pivot orders, and the best are reranked by cosine. Results of a vector's files a
   get more of them, which keeps the files even.
 * A file of more than about ``file_rows`` vectors, which any file is where the pivots have reached their
   cap, is divided by the pivots that come next in the orders of its vectors: by one, or by a pair where
-  that is not enough. A vector is then posted in two or three of the parts. Which files are so large is
+  that is not enough. A vector is then posted in two of the parts, or six where pairs divide. Which files are so large is
   estimated from the orders of ``SHAPE_ROWS`` vectors at most, chosen by a hash of their id; a wrong
   estimate makes a part larger or smaller, all rows are indexed whatever it says.
 * Files of pivots that are close to each other form a bundle, which is one group of the shuffle. A vector
@@ -37,6 +37,7 @@ Defined results:
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -193,14 +194,13 @@ def posted_in(perm: np.ndarray, bundles: np.ndarray, levels: np.ndarray, posts:
         columns.append(np.where(level == 0, bundles[files[:, f]], -1))
         if not level.any():
             continue
-        others = np.stack([perm[:, r] for r in range(depth) if r != f][:3], axis=1).astype(np.int64)
+        others = np.stack([perm[:, r] for r in range(depth) if r != f][:4], axis=1).astype(np.int64)
         base = (files[:, f] + 1) << 32
         for r in range(min(2, others.shape[1])):
             columns.append(np.where(level == 1, base + ((others[:, r] + 1) << 16), -1))
-        for a, b in ((0, 1), (0, 2), (1, 2)):
-            if b < others.shape[1]:
-                low, high = np.minimum(others[:, a], others[:, b]), np.maximum(others[:, a], others[:, b])
-                columns.append(np.where(level == 2, base + ((low + 1) << 16) + high + 1, -1))
+        for a, b in itertools.combinations(range(others.shape[1]), 2):
+            low, high = np.minimum(others[:, a], others[:, b]), np.maximum(others[:, a], others[:, b])
+            columns.append(np.where(level == 2, base + ((low + 1) << 16) + high + 1, -1))
     return np.stack(columns, axis=1).astype(np.int64) if columns else np.full((n, 0), -1, np.int64)
 
 
