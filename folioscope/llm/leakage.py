@@ -54,6 +54,8 @@ LEAST_COSINE = 0.4
 #: Least share of an item's passage that is a subsequence of a paraphrase.
 LEAST_LCS = 0.6
 MAX_ITEM_CHARS = 2_000_000
+#: Rows of the sums that travel together.
+BLOCK = 512
 #: Passages compared at once, of documents and of items.
 AT_ONCE, ITEM_BLOCK = 2000, 4096
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -122,6 +124,7 @@ class Items:
         self.parts = [p for _, _, p in parts]
         grams = [h[n > 0] for h, n in (terms(_codes(t)) for t in self.texts)]
         self.vocabulary = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
+        self.dims = max(BLOCK, min(dims, -(-len(self.vocabulary) // BLOCK) * BLOCK))  # a term each, up to dims
 
     def finder(self):
         """A function of a text's codes: where its known terms begin, their lengths and dimensions."""
@@ -221,7 +224,6 @@ class Matrix:
         into += np.stack([np.bincount(pairs % width, minlength=width), np.bincount(pairs % width, n * n, width)], axis=1)
 
 
-BLOCK = 512
 #: Groups in which the partitions' sums first meet.
 FAN_IN = 64
 
