@@ -12,10 +12,9 @@ bounds and the share are learned from the labels, with the surprise of each text
 other four fifths of the labelled prose; of the settings with the fewest errors the one closest to
 ``USUAL`` is taken. The share is that of a page with ``PRIOR_CHARS`` ordinary characters more.
 
-The labelled sample is bounded by ``max_labels`` rows (those with the smallest hash of their key, so a
-larger table gives a sample of the same kind). Only counts of words and class n-grams and some numbers per
-labelled text go to the driver, never a text. Every page is then scored on its own, in one scan
-without a shuffle.
+Every decided label is used, however many there are. Only counts go to the driver, of words, class n-grams
+and errors of each setting, never a text or a label. Labelled texts are picked behind a Bloom filter of the
+labels' keys, so no other text is shuffled. Every page is then scored on its own, in one scan without a shuffle.
 
 Defined results:
 
@@ -36,9 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm import word_classes as wc
+from folioscope.operators import bloom as bf
 from folioscope.runtime import materialize
 
-MAX_LABELS = 20_000
 #: Neighbours of a window to either side; bits that one token counts at most.
 WINDOW, MOST_BITS = 4, 12.0
 #: Perplexities in bits to choose from, shares of a page, and the setting without labels that speak against it.
@@ -151,10 +150,11 @@ def _count_trigrams(words: wc.FunctionWords):
     return run
 
 
-def _labelled_shares(models: np.ndarray, words: wc.FunctionWords):
-    """is_spam, x: of every labelled text the shares above each of HIGH and below each of LOW."""
+def _count_errors(models: np.ndarray, words: wc.FunctionWords):
+    """setting, n: how many labelled texts each setting of (HIGH, LOW, SHARE) gets wrong."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        errors = np.zeros((len(HIGH), len(LOW), len(SHARE)), np.int64)
         for batch in batches:
             labels, folds = batch.column("is_spam").to_pylist(), batch.column("fold").to_pylist()
             for some, part in _batches(list(zip(labels, folds)), batch.column("text").to_pylist()):
@@ -162,26 +162,28 @@ def _labelled_shares(models: np.ndarray, words: wc.FunctionWords):
                 before, last, kind = _context(t)
                 fold = np.array([f for _, f in some])[t.doc]
                 near = window_bits(t, models[fold, before, last, kind])
-                x = np.stack([*[share_of(t, near > h) for h in HIGH], *[share_of(t, near < b) for b in LOW]], axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in some], pa.int32()), pa.array(list(x), pa.list_(pa.float64()))], names=["is_spam", "x"])
+                above = np.stack([share_of(t, near > h) for h in HIGH], axis=1)
+                below = np.stack([share_of(t, near < b) for b in LOW], axis=1)
+                abnormal = above[:, :, None, None] + below[:, None, :, None]
+                spam = np.array([y == 1 for y, _ in some])
+                errors += ((abnormal > np.array(SHARE)) != spam[:, None, None, None]).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(errors.size, dtype=np.int32)), pa.array(errors.ravel())], names=["setting", "n"])
 
     return run
 
 
-def best_bounds(x: np.ndarray, spam: np.ndarray) -> tuple[float, float, float]:
-    """(high, low, share) with the fewest errors on labelled shares; of equals the one closest to USUAL."""
+def best_bounds(errors: np.ndarray) -> tuple[float, float, float]:
+    """(high, low, share) with the fewest errors; of equals the one closest to USUAL."""
     found = []
     for i, high in enumerate(HIGH):
         for j, low in enumerate(LOW):
-            abnormal = x[:, i] + x[:, len(HIGH) + j]
-            for share in SHARE:
-                errors = int(((abnormal > share) != spam).sum())
-                found.append((errors, abs(high - USUAL[0]) + abs(low - USUAL[1]) + abs(share - USUAL[2]), (high, low, share)))
+            for k, share in enumerate(SHARE):
+                found.append((int(errors[i, j, k]), abs(high - USUAL[0]) + abs(low - USUAL[1]) + abs(share - USUAL[2]), (high, low, share)))
     return min(found)[2]
 
 
 class SpamModel:
-    """What was learned from the labelled sample; ``prose`` is None where there was none of both kinds."""
+    """What was learned from the labelled texts; ``prose`` is None where there were none of both kinds."""
 
     def __init__(self, prose: np.ndarray | None = None, words: wc.FunctionWords = wc.LISTED_WORDS, bounds: tuple[float, float, float] = USUAL):
         self.prose, self.words, self.bounds = prose, words, bounds
@@ -206,33 +208,37 @@ class SpamModel:
         return run
 
 
-def train(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str = "is_spam", max_labels: int = MAX_LABELS) -> SpamModel:
-    """A model from at most ``max_labels`` labelled texts."""
+def train(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str = "is_spam") -> SpamModel:
+    """A model from all labelled texts."""
     decided = (
         labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("is_spam")).filter(F.col("is_spam").isin(0, 1))
         .groupBy("key").agg(F.min("is_spam").alias("is_spam"), F.max("is_spam").alias("other")).filter("is_spam = other")
-        .orderBy(F.xxhash64("key"), "key").limit(max_labels).select("key", "is_spam", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(FOLDS)).cast("int").alias("fold"))
+        .select("key", "is_spam", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(FOLDS)).cast("int").alias("fold"))
     )
     given = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.length("text") > 0)
-    sample = materialize(given.join(F.broadcast(decided), "key").select("is_spam", "fold", "text"), "labelled")  # max_labels rows at most
-    prose = sample.filter("is_spam = 0")
-    if prose.isEmpty() or sample.filter("is_spam = 1").isEmpty():
+    same = F.col("key").cast(given.select("key").union(decided.select("key")).schema["key"].dataType)  # equal keys of two types have two hashes
+    blocks = bf.blocks_for(labels.count())
+    near = bf.probe(given, same, bf.build(decided, same, blocks), blocks, "near").filter("near")
+    labelled = materialize(near.join(decided, "key").select("is_spam", "fold", "text"), "labelled")
+    prose = labelled.filter("is_spam = 0")
+    if prose.isEmpty() or labelled.filter("is_spam = 1").isEmpty():
         return SpamModel()
     words = function_words(prose)
     counts = np.zeros((FOLDS, C**3), np.int64)
     for r in prose.mapInArrow(_count_trigrams(words), "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():
         counts.ravel()[r.gram] = r.n  # FOLDS tables of C ** 3 numbers at most
     models = np.stack([trigram_model(counts.sum(axis=0) - counts[f]) for f in range(FOLDS)])
-    got = sample.mapInArrow(_labelled_shares(models, words), "is_spam int, x array<double>").toArrow()  # max_labels rows at most
-    bounds = best_bounds(np.array(got.column("x").to_pylist()), got.column("is_spam").to_numpy() == 1)
-    return SpamModel(trigram_model(counts.sum(axis=0)), words, bounds)
+    errors = np.zeros((len(HIGH), len(LOW), len(SHARE)), np.int64)
+    for r in labelled.mapInArrow(_count_errors(models, words), "setting int, n bigint").groupBy("setting").agg(F.sum("n").alias("n")).collect():  # one row a setting
+        errors.ravel()[r.setting] = r.n
+    return SpamModel(trigram_model(counts.sum(axis=0)), words, best_bounds(errors))
 
 
-def find_spam(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", max_labels: int = MAX_LABELS) -> DataFrame:
+def find_spam(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score) of every spam page, score being the share of abnormal characters above the share allowed."""
     from pyspark.sql.pandas.types import to_arrow_type
 
-    model = train(docs, labels, key=key, text=text, max_labels=max_labels)
+    model = train(docs, labels, key=key, text=text)
     kind = docs.schema[key].dataType
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).filter(F.length("text") > 0)
     scored = rows.mapInArrow(model.over(to_arrow_type(kind)), f"key {kind.simpleString()}, score double")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from folioscope.llm import word_classes as wc
-from folioscope.llm.spam_pages import evidence, find_spam
+from folioscope.llm.spam_pages import evidence, find_spam, train
 
 WORDS = "ledger sluice harvest copper window morning signal garden letter engine market copper bridge winter candle orbit".split()
 NAMES = [f"{a}{b}" for a in ("Kra", "Pol", "Mer", "Tis", "Gon", "Vul") for b in ("dan", "mir", "keth", "lorn", "bist")]
@@ -82,3 +82,15 @@ def test_evidence():
     rng = random.Random(1)
     share = evidence(wc.tokenize([prose(rng, 4), links(rng, 30), stuffed(rng, 90), glued(rng, 90), tags(rng, 50)]), 2)
     assert share[0] < 0.3 and (share[1:] > 0.6).all()
+
+
+def test_every_label_is_used(spark):
+    n, few = 20_100, 60
+    keys = [r.k for r in spark.range(n).selectExpr("id k", "xxhash64(cast(id as int)) h").orderBy("h", "k").collect()]
+    spam = spark.createDataFrame([(k,) for k in keys[-few:]], "doc_id long")
+    docs = spark.range(n).selectExpr("id doc_id", "concat('The copper of the window was moved after ', id, ' days.') text").join(spam, "doc_id", "left_anti")
+    docs = docs.unionByName(spam.selectExpr("doc_id", "repeat('cheap tool ', 40) text"))
+    labels = spark.range(n).selectExpr("cast(id as int) doc_id").join(spam.selectExpr("doc_id", "1 is_spam"), "doc_id", "left").selectExpr("doc_id", "coalesce(is_spam, 0) is_spam")
+    model = train(docs, labels, key="doc_id", text="text")
+    assert model.prose is not None
+    assert (model.scores(["cheap tool " * 40]) > 0).all() and (model.scores(["The copper of the window was moved after 7 days."]) < 0).all()
