@@ -276,17 +276,19 @@ def evidence_units(docs: DataFrame, *, key: str, text: str, most: int | None = N
     """Sections at headings of the first four levels with their line range (from 0) and whole text, cut to ``most`` characters only if given.
 
     The section's number is a running count of headings over the document's lines; its kind is that of the whole text.
+    Where a key is repeated, lines of one number count as one place: all headings of that place count for each of them.
     """
     from pyspark.sql import Window
 
     lines = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line", "content"))
-    heading = F.col("content").rlike(r"^#{1,4}\s+")
-    counted = lines.withColumn("section", F.sum(heading.cast("int")).over(Window.partitionBy("key").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)))
+    heading = F.col("content").rlike(r"^#{1,4}[\t\n\f\r ]+")  # the blanks of SQL's \s; Java's has the vertical tab too
+    counted = lines.withColumn("section", F.sum(heading.cast("int")).over(Window.partitionBy("key").orderBy("line").rangeBetween(Window.unboundedPreceding, 0)))
     out = counted.groupBy("key", "section").agg(
         F.min("line").alias("line_start"), F.max("line").alias("line_end"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "content"))), lambda x: x["content"]), "\n").alias("content"),
     )
-    out = out.withColumn("content", tx.strip(F.col("content"))).filter("content <> ''").withColumn("kind", rules.evidence_kind(F.col("content")))
+    bare = F.regexp_replace("content", r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")  # separators are blanks too, as in the SQL
+    out = out.withColumn("content", bare).filter("content <> ''").withColumn("kind", rules.evidence_kind(F.col("content")))
     return out if most is None else out.withColumn("content", F.substring("content", 1, most))
 
 

@@ -125,6 +125,21 @@ def test_evidence_units_are_whole(spark):
     assert [(r.content, r.kind) for r in ch.evidence_units(df, key="k", text="text", most=2000).collect()] == [(text[:2000], "table")]
 
 
+def test_evidence_sections_are_those_of_the_sql(spark, tmp_path):
+    import duckdb
+
+    from folioscope.plans import whole
+
+    texts = [None, "", "# a\nb\n####\tc", "#\x0ba\n#\u3000b\n#\x0cc\n##### d\n# \n#", "a\r\n#\r\n#\x85b\n# \x0b", "\x1f# \x1c\n"]
+    rows = [*enumerate(texts), *[(9, f"{'# a' if i % 2 else 'x'}\n{'b' if i % 3 else '# c'}\nd") for i in range(12)]]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    columns = ("doc_id", "section", "line_start", "line_end", "chars")
+    got = sorted(tuple(r[c] for c in columns) for r in whole.QUERIES["evidence_units_whole"](spark, str(tmp_path)).collect())
+    assert got == sorted(con.execute(whole.SQL["evidence_units_whole"]).fetchall())
+
+
 def test_upper_median(spark):
     df = spark.createDataFrame([("a", v) for v in (5, 1, 3, 3)] + [("b", 2)] + [("c", None)], "g string, v int")
     assert {r.g: r.upper_median for r in upper_median(df, ["g"], "v").collect()} == {"a": 3, "b": 2}
